@@ -51,3 +51,14 @@ def rounded(df, *skip: str, digits: int = 6):
             for f in df.schema.fields
         ]
     )
+
+
+def nan_to_null(df):
+    """Every NaN cell becomes NULL; infinities stay."""
+    return df.withColumns(
+        {
+            f.name: F.when(~F.isnan(col(f.name)), col(f.name))
+            for f in df.schema.fields
+            if f.dataType.typeName() in ("double", "float")
+        }
+    )
