@@ -61,7 +61,8 @@ def shap_summary(values: DataFrame, features: Sequence[str], model: str, version
     top = importance.where(F.col("rank") <= TOP_FEATURES).agg(
         F.sort_array(F.collect_list(F.struct("rank", "feature", "mean_abs_shap_value")))
     )
-    return values.agg(F.count("*").alias("n_observations")).select(
+    counted = values.agg(F.count("*").alias("n_observations")).withColumn("_top", top.scalar())
+    return counted.select(
         F.lit(model).alias("model_name"),
         F.lit(version).alias("model_version"),
         F.lit("linear").alias("explainer_type"),
@@ -70,7 +71,12 @@ def shap_summary(values: DataFrame, features: Sequence[str], model: str, version
         F.lit(len(features)).alias("n_features"),
         F.lit(1).alias("positive_class"),
         F.transform(
-            top.scalar(), lambda t: F.struct(t["feature"], t["mean_abs_shap_value"], t["rank"])
+            "_top",
+            lambda t: F.struct(
+                t["feature"].alias("feature"),
+                t["mean_abs_shap_value"].alias("mean_abs_shap_value"),
+                t["rank"].alias("rank"),
+            ),
         ).alias("top_features"),
         F.current_timestamp().alias("created_at"),
     )

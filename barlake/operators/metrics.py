@@ -146,21 +146,18 @@ def evaluate(scored: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
 
 
 def model_comparison(metrics: DataFrame, choose_by: str = "roc_auc") -> DataFrame:
-    """Long (metric, model, value) rows and each model's rank by the chosen metric.
+    """The metrics of every model with its rank by the chosen one.
 
-    ``metrics`` has one row per model.
+    ``metrics`` has one row per model; ties share a rank.
     """
     if choose_by not in METRICS:
         raise DataContractError(f"Unknown metric {choose_by!r}")
     require_metrics(metrics)
-    better = metrics.select(F.col("model").alias("_other"), F.col(choose_by).alias("_value"))
-    ahead = F.col("_value") > F.col(choose_by)
-    ranked = (
-        metrics.join(better, ahead | (F.col("_other") == F.col("model")))
-        .groupBy("model", *METRICS)
-        .agg((F.count_if(ahead) + 1).alias("rank"))
+    everyone = metrics.agg(F.collect_list(choose_by)).scalar()
+    ahead = F.filter("_all", lambda v: v > F.col(choose_by))
+    return metrics.withColumn("_all", everyone).select(
+        "model", *METRICS, (F.size(ahead) + 1).alias("rank")
     )
-    return ranked
 
 
 def require_metrics(metrics: DataFrame) -> None:
