@@ -1,6 +1,6 @@
 """Global ranks, running totals and exact quantiles without one big sort group.
 
-Both levels are ordinary Spark aggregations and windows:
+All levels are ordinary Spark aggregations and windows:
 
 1. approximate percentiles give cut points, so every bucket holds about the
    same number of rows however skewed the values are; the cut points only
@@ -12,6 +12,7 @@ Both levels are ordinary Spark aggregations and windows:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +20,9 @@ from pyspark.sql import functions as F
 from barlake.functions.scalars import col
 
 BUCKETS = 128
+# Cut points are searched in two levels: the ends of groups of this many, then
+# the points of one group.
+_GROUP = 12
 
 
 def _cut_points(x: Column, buckets: int) -> Column:
@@ -26,8 +30,15 @@ def _cut_points(x: Column, buckets: int) -> Column:
     return F.array_distinct(F.percentile_approx(x, shares, 20 * buckets))
 
 
-def _cuts_below(cuts: Column, x: Column) -> Column:
-    return F.size(F.filter(cuts, lambda c: c < x))
+def _group_ends(cuts: str) -> Column:
+    return F.filter(cuts, lambda c, i: i % _GROUP == _GROUP - 1)
+
+
+def _below(ends: str, cuts: str, x: Column) -> Column:
+    """Number of cut points smaller than x; both names are sorted array columns."""
+    skipped = F.size(F.filter(ends, lambda c: c < x)) * _GROUP
+    group = F.slice(cuts, skipped + 1, F.lit(_GROUP))
+    return skipped + F.size(F.filter(group, lambda c: c < x))
 
 
 def index_rows(
@@ -45,23 +56,20 @@ def index_rows(
     stamp either. ``(keys, time, tie)`` must be unique.
     """
     keys = list(keys)
-    cuts = df.groupBy(*keys).agg(
-        _cut_points(col(time), buckets).alias("_time_cuts"),
-        _cut_points(col(tie), buckets).alias("_tie_cuts"),
+    cuts = (
+        df.groupBy(*keys)
+        .agg(
+            _cut_points(col(time), buckets).alias("_time_cuts"),
+            _cut_points(col(tie), buckets).alias("_tie_cuts"),
+        )
+        .withColumns({"_time_ends": _group_ends("_time_cuts"), "_tie_ends": _group_ends("_tie_cuts")})
     )
     t, k = col(time), col(tie)
     is_cut = F.array_contains("_time_cuts", t)
-    bucket = F.struct(
-        (2 * _cuts_below(F.col("_time_cuts"), t) + is_cut.cast("int")).alias("at"),
-        F.when(is_cut, _cuts_below(F.col("_tie_cuts"), k)).otherwise(0).alias("part"),
-    )
-    rows = (
-        df.join(cuts, keys)
-        .withColumn("_bucket", bucket)
-        .drop("_time_cuts", "_tie_cuts")
-        .withColumn("_at", F.col("_bucket.at"))
-        .withColumn("_part", F.col("_bucket.part"))
-        .drop("_bucket")
+    rows = df.join(cuts, keys).select(
+        *[col(c) for c in df.columns],
+        (2 * _below("_time_ends", "_time_cuts", t) + is_cut.cast("int")).alias("_at"),
+        F.when(is_cut, _below("_tie_ends", "_tie_cuts", k)).otherwise(0).alias("_part"),
     )
     where = [*keys, "_at", "_part"]
     totals = rows.groupBy(*where).agg(F.count("*").alias("_n"))
@@ -75,8 +83,10 @@ def index_rows(
     return (
         rows.withColumn("_local", F.row_number().over(inside))
         .join(offsets, where)
-        .withColumn(name, F.col("_offset") + F.col("_local") - 1)
-        .drop("_at", "_part", "_local", "_offset")
+        .select(
+            *[col(c) for c in df.columns],
+            (F.col("_offset") + F.col("_local") - 1).alias(name),
+        )
     )
 
 
@@ -89,36 +99,49 @@ def running_totals(
 ) -> DataFrame:
     """One row per key and distinct value with running totals of ``counts``.
 
-    ``counts`` maps names to row-level numbers that are summed. Each name ``c``
-    yields ``c`` (at this value), ``c_before`` (strictly smaller values) and
-    ``c_total``; ``next_value`` is the next larger value or NULL. Repeated
-    values collapse before the shuffle, so a hot value costs one row.
+    ``counts`` maps names to row-level numbers, not negative, that are summed.
+    Each name ``c`` yields ``c`` (at this value), ``c_before`` (strictly smaller
+    values) and ``c_total``; ``next_value`` is the next larger value or NULL.
+    Values that count for nothing are left out. Repeated values collapse before
+    the shuffle, so a hot value costs one row.
+
+    That filter reads all columns of the aggregation in each of its three uses
+    below, which keeps the uses identical: Spark runs the exchange once.
     """
     keys = list(keys)
     names = list(counts)
+    counted = reduce(Column.__add__, [F.col(n) for n in names])
     distinct = (
-        df.where(col(value).isNotNull())
-        .groupBy(*keys, value)
+        df.groupBy(*keys, value)
         .agg(*[F.sum(x).alias(n) for n, x in counts.items()])
+        .where(F.when(col(value).isNotNull(), counted) > 0)
     )
-    cuts = distinct.groupBy(*keys).agg(_cut_points(col(value), buckets).alias("_cuts"))
-    rows = (
-        distinct.join(cuts, keys)
-        .withColumn("_at", _cuts_below(F.col("_cuts"), col(value)))
-        .drop("_cuts")
+    cuts = (
+        distinct.groupBy(*keys)
+        .agg(
+            _cut_points(col(value), buckets).alias("_cuts"),
+            *[F.sum(n).alias(f"{n}_total") for n in names],
+        )
+        .withColumn("_ends", _group_ends("_cuts"))
     )
-    totals = rows.groupBy(*keys, "_at").agg(
-        F.min(col(value)).alias("_first"), *[F.sum(n).alias(f"_{n}") for n in names]
+    rows = distinct.join(cuts, keys).select(
+        *keys,
+        col(value),
+        *names,
+        *[f"{n}_total" for n in names],
+        _below("_ends", "_cuts", col(value)).alias("_at"),
     )
     by_bucket = Window.partitionBy(*keys).orderBy("_at")
     before = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy(*keys)
-    offsets = totals.select(
-        *keys,
-        "_at",
-        F.lead("_first").over(by_bucket).alias("_next_first"),
-        *[F.coalesce(F.sum(f"_{n}").over(before), F.lit(0)).alias(f"_{n}_offset") for n in names],
-        *[F.sum(f"_{n}").over(everything).alias(f"{n}_total") for n in names],
+    offsets = (
+        rows.groupBy(*keys, "_at")
+        .agg(F.min(col(value)).alias("_first"), *[F.sum(n).alias(f"_{n}") for n in names])
+        .select(
+            *keys,
+            "_at",
+            F.lead("_first").over(by_bucket).alias("_next_first"),
+            *[F.coalesce(F.sum(f"_{n}").over(before), F.lit(0)).alias(f"_{n}_offset") for n in names],
+        )
     )
     inside = Window.partitionBy(*keys, "_at").orderBy(value)
     inside_before = inside.rowsBetween(Window.unboundedPreceding, -1)
@@ -155,7 +178,7 @@ def quantiles(
             hit = (F.col("n_before") <= position) & (position < F.col("n_before") + F.col("n"))
             picks.append(F.max(F.when(hit, at)).alias(f"_{name}_{edge}"))
         picks.append(F.max(place - F.floor(place)).alias(f"_{name}_weight"))
-    ends = totals.groupBy(*keys).agg(F.max("n_total").alias("_n"), *picks)
+    ends = totals.groupBy(*keys).agg(*picks)
     return ends.select(
         *keys,
         *[

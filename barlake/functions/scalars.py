@@ -57,7 +57,7 @@ def nan_to_null(df):
     """Every NaN cell becomes NULL; infinities stay."""
     return df.withColumns(
         {
-            f.name: F.when(~F.isnan(col(f.name)), col(f.name))
+            f.name: F.nanvl(col(f.name), F.lit(None))
             for f in df.schema.fields
             if f.dataType.typeName() in ("double", "float")
         }

@@ -5,29 +5,31 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from barlake.functions.scalars import col, ratio
+from barlake.functions.scalars import col
 from barlake.functions.series import DAILY, Series, lag, lead
 
 MAX_LAG = 20
 
 
-def pearson(x: Column, y: Column) -> Column:
-    """Correlation over rows where both are present; NULL without variance."""
-    both = x.isNotNull() & y.isNotNull()
-    spread = F.var_pop(F.when(both, x)) * F.var_pop(F.when(both, y))
-    return ratio(F.covar_pop(x, y), F.sqrt(spread))
+def pearson(x: str, y: str) -> str:
+    """SQL aggregate: correlation over rows with both, NULL without variance.
+
+    The built-in ``corr`` raises for a constant column in ANSI mode.
+    """
+    return (
+        f"try_divide(covar_pop(`{x}`, `{y}`),"
+        f" sqrt(var_pop(`{x}`) FILTER (WHERE `{y}` IS NOT NULL)"
+        f" * var_pop(`{y}`) FILTER (WHERE `{x}` IS NOT NULL)))"
+    )
 
 
-def _long(wide: DataFrame, keep: Sequence[str], cells: list[tuple[dict, Column]]) -> DataFrame:
-    """Aggregate columns to rows: one struct per cell, labels as literals."""
-    rows = [
-        F.struct(*[F.lit(v).alias(k) for k, v in labels.items()], value.alias("correlation"))
-        for labels, value in cells
-    ]
-    return wide.select(*keep, F.inline(F.array(*rows)))
+def _to_rows(wide: DataFrame, keep: Sequence[str], cells: list[tuple[str, str]]) -> DataFrame:
+    """Aggregate columns to rows; a cell is (SQL of its labels, column)."""
+    rows = ", ".join(f"struct({labels}, `{name}` AS correlation)" for labels, name in cells)
+    return wide.select(*keep, F.expr(f"inline(array({rows}))"))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -37,20 +39,19 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     but one partial row per task.
     """
     pairs = list(combinations_with_replacement(columns, 2))
-    wide = df.agg(*[pearson(col(a), col(b)).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
+    wide = df.agg(*[F.expr(pearson(a, b)).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
     cells = []
     for i, (a, b) in enumerate(pairs):
-        cells.append(({"feature_a": a, "feature_b": b}, F.col(f"_{i}")))
-        if a != b:
-            cells.append(({"feature_a": b, "feature_b": a}, F.col(f"_{i}")))
-    return _long(wide, [], cells)
+        for first, second in {(a, b), (b, a)}:
+            cells.append((f"'{first}' AS feature_a, '{second}' AS feature_b", f"_{i}"))
+    return _to_rows(wide, [], cells)
 
 
 def target_correlation(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     """Correlation of every column but the target itself with the target."""
     others = [c for c in columns if c != target]
-    wide = df.agg(*[pearson(col(c), col(target)).alias(f"_{i}") for i, c in enumerate(others)])
-    return _long(wide, [], [({"feature": c}, F.col(f"_{i}")) for i, c in enumerate(others)])
+    wide = df.agg(*[F.expr(pearson(c, target)).alias(f"_{i}") for i, c in enumerate(others)])
+    return _to_rows(wide, [], [(f"'{c}' AS feature", f"_{i}") for i, c in enumerate(others)])
 
 
 def cross_correlation(
@@ -73,6 +74,6 @@ def cross_correlation(
     rows = df.dropna(subset=[x, y]).select(*series.keys, *series.order, x, y)
     shifted = series.apply(rows, build, back=max_lag, forward=max_lag)
     wide = shifted.groupBy(*series.keys).agg(
-        *[pearson(F.col(f"_{i}"), col(y)).alias(f"_{i}") for i, _ in enumerate(shifts)]
+        *[F.expr(pearson(f"_{i}", y)).alias(f"_{i}") for i, _ in enumerate(shifts)]
     )
-    return _long(wide, series.keys, [({"lag": k}, F.col(f"_{i}")) for i, k in enumerate(shifts)])
+    return _to_rows(wide, series.keys, [(f"{k} AS lag", f"_{i}") for i, k in enumerate(shifts)])

@@ -45,27 +45,28 @@ def confusion_matrix(scored: DataFrame, by: Sequence[str] = ("model",)) -> DataF
     return scored.groupBy(*by).agg(*_counts()).select(*by, F.inline(cells))
 
 
-def classification_metrics(scored: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
-    """Accuracy, precision, recall and F1 of class 1; zero denominators give 0."""
+def _rates() -> list[Column]:
+    """The four rates from columns n<actual><predicted>; zero denominators give 0."""
     tn, fp, fn, tp = (F.col(c) for c in ("n00", "n01", "n10", "n11"))
 
     def share(numerator: Column, denominator: Column) -> Column:
         return F.coalesce(ratio(numerator.cast("double"), denominator), F.lit(0.0))
 
-    return (
-        scored.groupBy(*by)
-        .agg(*_counts())
-        .select(
-            *by,
-            share(tp + tn, tn + fp + fn + tp).alias("accuracy"),
-            share(tp, tp + fp).alias("precision"),
-            share(tp, tp + fn).alias("recall"),
-            share(2 * tp, 2 * tp + fp + fn).alias("f1_score"),
-        )
-    )
+    return [
+        share(tp + tn, tn + fp + fn + tp).alias("accuracy"),
+        share(tp, tp + fp).alias("precision"),
+        share(tp, tp + fn).alias("recall"),
+        share(2 * tp, 2 * tp + fp + fn).alias("f1_score"),
+    ]
+
+
+def classification_metrics(scored: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
+    """Accuracy, precision, recall and F1 of class 1."""
+    return scored.groupBy(*by).agg(*_counts()).select(*by, *_rates())
 
 
 def _class_totals(scored: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Positive and negative rows per distinct score, with running totals."""
     classes = {
         "pos": (F.col(ACTUAL) == 1).cast("bigint"),
         "neg": (F.col(ACTUAL) == 0).cast("bigint"),
@@ -73,22 +74,22 @@ def _class_totals(scored: DataFrame, by: Sequence[str]) -> DataFrame:
     return running_totals(scored, by, SCORE, classes)
 
 
+def _auc(pos: Column, neg: Column, neg_before: Column) -> tuple[list[Column], Column]:
+    """Aggregates over distinct scores and the AUC they give."""
+    won = F.sum(pos * (neg_before + neg / 2)).alias("_won")
+    sizes = [F.sum(pos).alias("_pos"), F.sum(neg).alias("_neg")]
+    area = ratio(F.col("_won"), F.col("_pos").cast("double") * F.col("_neg"))
+    return [won, *sizes], area.alias("roc_auc")
+
+
 def roc_auc(scored: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
     """Share of (positive, negative) pairs ranked right, ties counting half.
 
     Pairs are never formed: each distinct score adds its positives times the
     negatives below it. NULL if a class is absent.
     """
-    won = F.col("pos") * (F.col("neg_before") + F.col("neg") / 2)
-    return (
-        _class_totals(scored, by)
-        .groupBy(*by)
-        .agg(
-            F.sum(won).alias("_won"),
-            F.max(F.col("pos_total").cast("double") * F.col("neg_total")).alias("_pairs"),
-        )
-        .select(*by, ratio(F.col("_won"), F.col("_pairs")).alias("roc_auc"))
-    )
+    sums, area = _auc(F.col("pos"), F.col("neg"), F.col("neg_before"))
+    return _class_totals(scored, by).groupBy(*by).agg(*sums).select(*by, area)
 
 
 def roc_curve(scored: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
@@ -139,9 +140,26 @@ def range_histogram(
 
 
 def evaluate(scored: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
-    """The five metrics, one row per group."""
-    return classification_metrics(scored, by).join(roc_auc(scored, by), list(by)).select(
-        *by, *METRICS
+    """The five metrics, one row per group, from one pass over the scored rows.
+
+    Rows are counted per distinct score and confusion cell once; the rates and
+    the AUC both come from those counts. Rows without a score do not count.
+    """
+    cells = {
+        f"n{a}{p}": ((F.col(ACTUAL) == a) & (F.col(PREDICTED) == p)).cast("bigint")
+        for a in (0, 1)
+        for p in (0, 1)
+    }
+    sums, area = _auc(
+        F.col("n10") + F.col("n11"),
+        F.col("n00") + F.col("n01"),
+        F.col("n00_before") + F.col("n01_before"),
+    )
+    return (
+        running_totals(scored, by, SCORE, cells)
+        .groupBy(*by)
+        .agg(*[F.sum(c).alias(c) for c in cells], *sums)
+        .select(*by, *_rates(), area)
     )
 
 

@@ -12,24 +12,38 @@ from pyspark.sql import functions as F
 
 # First and last price need a (trade number, price) pair as ordering key. A
 # struct or string key would force a sort before the partial aggregation; a
-# 38-digit decimal keeps it a hash aggregation: 19 digits trade number, 15
-# digits price before and 4 after the point.
-_PRICE_TYPE = "decimal(19,4)"
-_TRADE_STEP = "1000000000000000BD"
+# 38-digit decimal keeps it a hash aggregation: 19 digits trade number, then
+# 19 digits price in steps of 0.0001.
+_TRADE_STEP = "10000000000000000000BD"
+_PRICE_STEPS = 10_000
 
 FIRST_EVENT_PRICE = 100.0
 
 
+# Schemas of the shared tables the toolkit reads, so that no job
+# runs to infer them.
+TABLE_SCHEMAS = {
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT,"
+    " l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE,"
+    " l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING,"
+    " value DOUBLE, props STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "labels": "doc_id BIGINT, quality INT, toxic INT",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _trade_key(trade: Column, price: Column) -> Column:
-    return trade.cast("decimal(19,0)") * F.expr(_TRADE_STEP) + price.cast(_PRICE_TYPE)
+    steps = F.rint(price * _PRICE_STEPS).cast("bigint")
+    return trade.cast("decimal(19,0)") * F.expr(_TRADE_STEP) + steps.cast("decimal(19,0)")
 
 
 def _price_of(key: Column) -> Column:
-    return (key % F.expr(_TRADE_STEP)).cast("double")
+    return (key % F.expr(_TRADE_STEP)).cast("double") / _PRICE_STEPS
 
 
 def to_bars(
@@ -39,7 +53,7 @@ def to_bars(
 
     Open and Close are the prices of the lowest and highest (trade, price)
     pair, so equal trade numbers cannot make the result depend on row order.
-    Prices must be at least 0, below 10**15 and exact to 4 decimals.
+    Prices must not be negative and are exact to 4 decimals.
     """
     rows = trades.select(
         *keys, _trade_key(trade, price).alias("_key"), price.alias("_price"), volume.alias("_volume")
