@@ -17,6 +17,15 @@ def col(name: str | Column) -> Column:
     return name if isinstance(name, Column) else F.col(f"`{name}`")
 
 
+def constant_key(value: str, text: Column) -> Column:
+    """``value`` as a key that stays a column of the plan.
+
+    Spark folds a literal key away, which turns a join on it into a cross join.
+    ``text`` is any text column of the rows; none of it ends up in the key.
+    """
+    return F.concat(F.lit(value), F.left(F.coalesce(text, F.lit("")), F.lit(0)))
+
+
 def ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator, denominator)
 

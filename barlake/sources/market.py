@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barlake.functions.scalars import col
+from barlake.functions.scalars import col, constant_key
 from barlake.schemas import MARKET_SCHEMA, PRICE_COLUMNS, REQUIRED_COLUMNS, DataContractError
 
 LEVEL_SEPARATOR = "|"
@@ -26,7 +26,8 @@ def read_market_csv(spark: SparkSession, path: str, symbol: str) -> DataFrame:
         .options(header=True, mode="FAILFAST", enforceSchema=False)
         .csv(path)
     )
-    return bars.select(F.lit(symbol).alias("symbol"), *[col(c) for c in REQUIRED_COLUMNS])
+    key = constant_key(symbol, F.col("Date").cast("string"))
+    return bars.select(key.alias("symbol"), *[col(c) for c in REQUIRED_COLUMNS])
 
 
 def read_text_csv(spark: SparkSession, path: str) -> DataFrame:

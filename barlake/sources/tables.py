@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barlake.functions.scalars import constant_key
+
 # First and last price need a (trade number, price) pair as ordering key. A
 # struct or string key would force a sort before the partial aggregation; a
 # 38-digit decimal keeps it a hash aggregation: 19 digits trade number, then
@@ -97,7 +99,7 @@ def single_series(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey") * 10 + F.col("l_linenumber"),
         F.col("l_extendedprice"),
         F.col("l_quantity"),
-        F.lit("ALL").alias("symbol"),
+        constant_key("ALL", F.col("l_returnflag")).alias("symbol"),
         F.col("l_shipdate").cast("date").alias("Date"),
     )
 
@@ -115,7 +117,7 @@ def event_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id"),
         F.col("value") + FIRST_EVENT_PRICE,
         F.lit(1),
-        F.lit("ALL").alias("symbol"),
+        constant_key("ALL", F.col("event_type")).alias("symbol"),
         hour_of("ts").alias("Date"),
     )
 
@@ -136,7 +138,7 @@ def news(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "events")
         .where(F.col("event_type") != "purchase")
         .select(
-            F.lit("ALL").alias("symbol"),
+            constant_key("ALL", F.col("event_type")).alias("symbol"),
             hour_of("ts").alias("Date"),
             ((F.col("value") - 50) / 50).alias("sentiment_score"),
         )
