@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, Window, WindowSpec
 from pyspark.sql import functions as F
 
 # e**-40 is about 4e-18, below the last bit of a double.
@@ -30,18 +30,18 @@ def memory(span: int) -> int:
     return math.ceil(NEGLIGIBLE / -math.log(1.0 - alpha(span)))
 
 
-def with_steps(df: DataFrame, w: WindowSpec) -> DataFrame:
-    """Add the row number inside the block, which :func:`ema` weighs by."""
-    return df.withColumn(STEP, F.row_number().over(w) - 1)
+def step(w: WindowSpec) -> Column:
+    """Row number inside the block; :func:`ema` reads it as column ``STEP``."""
+    return F.row_number().over(w) - 1
 
 
 def ema(x: Column, span: int, w: WindowSpec) -> Column:
-    """EMA of a column without NULLs, for frames with :func:`with_steps`.
+    """EMA of a column without NULLs, for frames with a ``STEP`` column.
 
     ``w`` must be a window over blocks of at most a few thousand rows.
     """
     a, q = alpha(span), 1.0 - alpha(span)
-    step = F.col(STEP)
-    share = F.when(step == 0, F.lit(1.0)).otherwise(F.lit(a))
+    at = F.col(STEP)
+    share = F.when(at == 0, F.lit(1.0)).otherwise(F.lit(a))
     running = w.rowsBetween(Window.unboundedPreceding, 0)
-    return F.pow(F.lit(q), step) * F.sum(share * F.pow(F.lit(q), -step) * x).over(running)
+    return F.pow(F.lit(q), at) * F.sum(share * F.pow(F.lit(q), -at) * x).over(running)

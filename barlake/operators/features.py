@@ -1,25 +1,27 @@
 """Market features and targets: row-framed windows over keyed series.
 
-Every public function takes bars with at least the key and time columns of
-``series`` and returns them with columns added. Functions named ``add_*`` are
-the building blocks: they take a frame and the window that orders one series
-(or one block of a long series) and can be chained inside one ``Series.apply``,
-so a whole feature set costs one exchange and one sort.
+Every feature group is a function from the window that orders one series (or
+one block of a long series) to *layers*: dictionaries of named columns, where
+a layer may read the input and the layers before it. Groups are combined layer
+by layer, so a whole feature set costs one exchange, one sort and one window
+operator per layer, however many groups it has.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import zip_longest
 
-from pyspark.sql import DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from barlake.functions.ema import EMA_BLOCK_ROWS, ema, memory, with_steps
+from barlake.functions.ema import EMA_BLOCK_ROWS, STEP, ema, memory, step
 from barlake.functions.scalars import finite_or_null, gain, loss, ratio
 from barlake.functions.series import DAILY, Series, lag, lead, roll
 from barlake.schemas import FEATURES, TARGET
 
-Build = Callable[[DataFrame, WindowSpec], DataFrame]
+Layers = list[dict[str, Column]]
+Group = Callable[[WindowSpec], Layers]
 
 # Rows reached back by the frames of each group, nesting included.
 REACH_RSI = 14
@@ -69,190 +71,192 @@ LABEL_UP, LABEL_DOWN = 0.015, -0.015
 HORIZON = 5
 
 
-def add_returns(df: DataFrame, w: WindowSpec) -> DataFrame:
-    step = ratio(F.col("Close"), lag(F.col("Close"), 1, w))
-    return df.withColumns({"simple_return": step - 1, "log_return": F.ln(step)})
+def returns(w: WindowSpec) -> Layers:
+    move = ratio(F.col("Close"), lag(F.col("Close"), 1, w))
+    return [{"simple_return": move - 1, "log_return": F.ln(move)}]
 
 
-def add_sma(df: DataFrame, w: WindowSpec) -> DataFrame:
+def sma(w: WindowSpec) -> Layers:
     close = F.col("Close")
-    means = df.withColumns({f"sma_{n}": roll(close, n, F.avg, w) for n in (10, 20)})
-    return means.withColumns(
-        {f"sma_ratio_{n}": ratio(close, F.col(f"sma_{n}")) - 1 for n in (10, 20)}
-    )
+    return [
+        {f"sma_{n}": roll(close, n, F.avg, w) for n in (10, 20)},
+        {f"sma_ratio_{n}": ratio(close, F.col(f"sma_{n}")) - 1 for n in (10, 20)},
+    ]
 
 
-def add_rsi(df: DataFrame, w: WindowSpec) -> DataFrame:
+def rsi(w: WindowSpec) -> Layers:
     """Relative strength over simple means of 14 gains and losses.
 
     Without any loss the index is 100; without any move it is NULL.
     """
-    change = F.col("Close") - lag(F.col("Close"), 1, w)
-    up, down = F.col("_up"), F.col("_down")
-    return (
-        df.withColumn("_change", change)
-        .withColumns(
-            {
-                "_up": roll(gain(F.col("_change")), 14, F.avg, w),
-                "_down": roll(loss(F.col("_change")), 14, F.avg, w),
-            }
-        )
-        .withColumn(
-            "rsi_14",
-            F.when((down == 0) & (up > 0), F.lit(100.0)).when(
+    change, up, down = F.col("_change"), F.col("_up"), F.col("_down")
+    return [
+        {"_change": F.col("Close") - lag(F.col("Close"), 1, w)},
+        {"_up": roll(gain(change), 14, F.avg, w), "_down": roll(loss(change), 14, F.avg, w)},
+        {
+            "rsi_14": F.when((down == 0) & (up > 0), F.lit(100.0)).when(
                 down > 0, 100 - 100 / (1 + ratio(up, down))
-            ),
-        )
-        .drop("_change", "_up", "_down")
-    )
+            )
+        },
+    ]
 
 
-def add_volatility(df: DataFrame, w: WindowSpec) -> DataFrame:
-    """Needs ``log_return``."""
+def volatility(w: WindowSpec) -> Layers:
+    """Reads ``log_return``."""
     r = F.col("log_return")
-    return df.withColumns(
+    return [
+        {"high_low_range": ratio(F.col("High") - F.col("Low"), F.col("Close"))},
         {
             "volatility_10": roll(r, 10, F.stddev_samp, w),
             "volatility_20": roll(r, 20, F.stddev_samp, w),
             "volatility_20_sq": roll(r * r, 20, F.avg, w),
-            "high_low_range": ratio(F.col("High") - F.col("Low"), F.col("Close")),
-        }
-    )
+        },
+    ]
+
 
+def short_volatility(w: WindowSpec) -> Layers:
+    """Reads ``log_return``; the one volatility that is a model feature."""
+    return [{}, {"volatility_10": roll(F.col("log_return"), 10, F.stddev_samp, w)}]
 
-def add_momentum(df: DataFrame, w: WindowSpec) -> DataFrame:
-    """Needs ``log_return``."""
+
+def momentum(w: WindowSpec) -> Layers:
+    """Reads ``log_return``."""
     close, r = F.col("Close"), F.col("log_return")
-    return df.withColumns(
-        {
-            **{f"mom_{n}": ratio(close, lag(close, n, w)) - 1 for n in (5, 10)},
-            **{f"ret_{n}": roll(r, n, F.sum, w) for n in (5, 10)},
-        }
-    )
+    return [
+        {f"mom_{n}": ratio(close, lag(close, n, w)) - 1 for n in (5, 10)},
+        {f"ret_{n}": roll(r, n, F.sum, w) for n in (5, 10)},
+    ]
 
 
-def add_drawdown(df: DataFrame, w: WindowSpec, deep: float = PERSISTENT_DRAWDOWN) -> DataFrame:
+def drawdown(w: WindowSpec, deep: float = PERSISTENT_DRAWDOWN) -> Layers:
     close, dd = F.col("Close"), F.col("drawdown_20")
-    peaks = df.withColumns({f"_peak_{n}": roll(close, n, F.max, w) for n in (10, 20)})
-    falls = peaks.withColumns(
-        {f"drawdown_{n}": ratio(close - F.col(f"_peak_{n}"), F.col(f"_peak_{n}")) for n in (10, 20)}
-    ).drop("_peak_10", "_peak_20")
     is_deep = F.coalesce(dd < deep, F.lit(False)).cast("int")
-    return falls.withColumns(
+    return [
+        {f"_peak_{n}": roll(close, n, F.max, w) for n in (10, 20)},
+        {
+            f"drawdown_{n}": ratio(close - F.col(f"_peak_{n}"), F.col(f"_peak_{n}"))
+            for n in (10, 20)
+        },
         {
             "max_drawdown_20": roll(dd, 20, F.min, w),
             "drawdown_change": dd - lag(dd, 1, w),
             "drawdown_abs": F.abs(dd),
             "drawdown_persistence": roll(is_deep, 10, F.sum, w).cast("double"),
-        }
-    )
+        },
+    ]
 
 
-def add_volume(df: DataFrame, w: WindowSpec) -> DataFrame:
+def volume_change(w: WindowSpec) -> Layers:
+    """Missing when the volume before is not positive."""
     volume, previous = F.col("Volume"), lag(F.col("Volume"), 1, w)
-    with_mean = df.withColumns(
-        {
-            "log_volume": F.log1p(volume),
-            "volume_change": F.when(previous > 0, ratio(volume, previous) - 1),
-            "volume_ma_10": roll(volume, 10, F.avg, w),
-        }
-    )
-    return with_mean.withColumn("volume_ratio_10", ratio(volume, F.col("volume_ma_10")))
+    return [{"volume_change": F.when(previous > 0, ratio(volume, previous) - 1)}]
+
 
+def volume_level(w: WindowSpec) -> Layers:
+    volume = F.col("Volume")
+    return [
+        {"log_volume": F.log1p(volume), "volume_ma_10": roll(volume, 10, F.avg, w)},
+        {"volume_ratio_10": ratio(volume, F.col("volume_ma_10"))},
+    ]
 
-def add_ema(df: DataFrame, w: WindowSpec) -> DataFrame:
+
+def smooth(w: WindowSpec) -> Layers:
     """``w`` must range over bounded blocks; see :mod:`barlake.functions.ema`."""
     close = F.col("Close")
-    smooth = with_steps(df, w).withColumns({f"ema_{n}": ema(close, n, w) for n in (10, 20)})
-    return smooth.withColumns(
-        {f"ema_ratio_{n}": ratio(close, F.col(f"ema_{n}")) - 1 for n in (10, 20)}
-    ).drop("_step")
+    return [
+        {STEP: step(w)},
+        {f"ema_{n}": ema(close, n, w) for n in (10, 20)},
+        {f"ema_ratio_{n}": ratio(close, F.col(f"ema_{n}")) - 1 for n in (10, 20)},
+    ]
 
 
-def add_macd(df: DataFrame, w: WindowSpec) -> DataFrame:
+def macd(w: WindowSpec) -> Layers:
     """``w`` must range over bounded blocks; see :mod:`barlake.functions.ema`."""
-    close = F.col("Close")
-    return (
-        with_steps(df, w)
-        .withColumn("macd", ema(close, 12, w) - ema(close, 26, w))
-        .withColumn("macd_signal", ema(F.col("macd"), 9, w))
-        .withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
-        .drop("_step")
-    )
+    close, line = F.col("Close"), F.col("macd")
+    return [
+        {STEP: step(w)},
+        {"macd": ema(close, 12, w) - ema(close, 26, w)},
+        {"macd_signal": ema(line, 9, w)},
+        {"macd_hist": line - F.col("macd_signal")},
+    ]
 
 
-def add_target(df: DataFrame, w: WindowSpec) -> DataFrame:
+def next_target(w: WindowSpec) -> Layers:
     """1 if the next close is higher, else 0; NULL on the last row."""
     upcoming = lead(F.col("Close"), 1, w)
-    return df.withColumn(
-        TARGET, F.when(upcoming.isNotNull(), (upcoming > F.col("Close")).cast("int"))
-    )
+    return [{TARGET: F.when(upcoming.isNotNull(), (upcoming > F.col("Close")).cast("int"))}]
 
 
-def add_forward_returns(df: DataFrame, w: WindowSpec) -> DataFrame:
-    """Needs ``log_return``: sum of the next 5 log returns, and the 5-step return."""
+def forward(w: WindowSpec) -> Layers:
+    """Reads ``log_return``: sum of the next 5 log returns, and the 5-step return."""
     r, frame = F.col("log_return"), w.rowsBetween(1, HORIZON)
-    return df.withColumns(
-        {
-            "future_return_5d": F.when(F.count(r).over(frame) == HORIZON, F.sum(r).over(frame)),
-            "future_simple_return_5d": ratio(lead(F.col("Close"), HORIZON, w), F.col("Close")) - 1,
-        }
-    )
+    ahead = lead(F.col("Close"), HORIZON, w)
+    return [
+        {"future_simple_return_5d": ratio(ahead, F.col("Close")) - 1},
+        {"future_return_5d": F.when(F.count(r).over(frame) == HORIZON, F.sum(r).over(frame))},
+    ]
 
 
-def _chain(*steps: Build) -> Build:
-    def build(df: DataFrame, w: WindowSpec) -> DataFrame:
-        for step in steps:
-            df = step(df, w)
-        return df
+def add(df: DataFrame, w: WindowSpec, *groups: Group) -> DataFrame:
+    """Add the columns of all groups, one step per layer; names with _ are dropped."""
+    helpers: set[str] = set()
+    for layer in zip_longest(*[group(w) for group in groups], fillvalue={}):
+        columns = {name: column for part in layer for name, column in part.items()}
+        helpers |= {name for name in columns if name.startswith("_")}
+        df = df.withColumns(columns) if columns else df
+    return df.drop(*helpers)
 
-    return build
+
+def _apply(
+    bars: DataFrame, series: Series, *groups: Group, back: int, forward: int = 0
+) -> DataFrame:
+    return series.apply(bars, lambda df, w: add(df, w, *groups), back=back, forward=forward)
 
 
 def return_features(bars: DataFrame, series: Series = DAILY) -> DataFrame:
-    return series.apply(bars, add_returns, back=1)
+    return _apply(bars, series, returns, back=1)
 
 
 def sma_features(bars: DataFrame, series: Series = DAILY) -> DataFrame:
-    return series.apply(bars, add_sma, back=REACH_SMA)
+    return _apply(bars, series, sma, back=REACH_SMA)
 
 
 def rsi_features(bars: DataFrame, series: Series = DAILY) -> DataFrame:
-    return series.apply(bars, add_rsi, back=REACH_RSI)
+    return _apply(bars, series, rsi, back=REACH_RSI)
 
 
 def volatility_features(bars: DataFrame, series: Series = DAILY) -> DataFrame:
-    return series.apply(bars, _chain(add_returns, add_volatility), back=REACH_VOLATILITY)
+    return _apply(bars, series, returns, volatility, back=REACH_VOLATILITY)
 
 
 def momentum_features(bars: DataFrame, series: Series = DAILY) -> DataFrame:
-    return series.apply(bars, _chain(add_returns, add_momentum), back=10)
+    return _apply(bars, series, returns, momentum, back=10)
 
 
 def drawdown_features(
     bars: DataFrame, series: Series = DAILY, deep: float = PERSISTENT_DRAWDOWN
 ) -> DataFrame:
-    return series.apply(bars, lambda df, w: add_drawdown(df, w, deep), back=REACH_DRAWDOWN)
+    return _apply(bars, series, lambda w: drawdown(w, deep), back=REACH_DRAWDOWN)
 
 
 def volume_features(bars: DataFrame, series: Series = DAILY) -> DataFrame:
-    return series.apply(bars, add_volume, back=9)
+    return _apply(bars, series, volume_change, volume_level, back=9)
 
 
 def target(bars: DataFrame, series: Series = DAILY) -> DataFrame:
-    return series.apply(bars, add_target, back=0, forward=1)
+    return _apply(bars, series, next_target, back=0, forward=1)
 
 
 def forward_returns(bars: DataFrame, series: Series = DAILY) -> DataFrame:
-    return series.apply(bars, _chain(add_returns, add_forward_returns), back=1, forward=HORIZON)
+    return _apply(bars, series, returns, forward, back=1, forward=HORIZON)
 
 
 def ema_features(bars: DataFrame, series: Series = DAILY) -> DataFrame:
-    return series.blocked(EMA_BLOCK_ROWS).apply(bars, add_ema, back=REACH_EMA)
+    return _apply(bars, series.blocked(EMA_BLOCK_ROWS), smooth, back=REACH_EMA)
 
 
 def macd_features(bars: DataFrame, series: Series = DAILY) -> DataFrame:
-    return series.blocked(EMA_BLOCK_ROWS).apply(bars, add_macd, back=REACH_MACD)
+    return _apply(bars, series.blocked(EMA_BLOCK_ROWS), macd, back=REACH_MACD)
 
 
 def market_features(bars: DataFrame, series: Series = DAILY) -> DataFrame:
@@ -261,12 +265,8 @@ def market_features(bars: DataFrame, series: Series = DAILY) -> DataFrame:
     Rows whose features are missing or not finite are dropped, as is the last
     row of each series. The target compares neighbouring bars before any drop.
     """
-    built = series.apply(
-        bars,
-        _chain(add_returns, add_sma, add_rsi, add_volatility, add_volume, add_target),
-        back=REACH_VOLATILITY,
-        forward=1,
-    )
+    groups = (returns, sma, rsi, short_volatility, volume_change, next_target)
+    built = _apply(bars, series, *groups, back=REACH_VOLATILITY, forward=1)
     kept = [c for c in bars.columns if c not in (*FEATURES, TARGET)]
     return built.select(
         *[F.col(f"`{c}`") for c in kept],
@@ -277,19 +277,13 @@ def market_features(bars: DataFrame, series: Series = DAILY) -> DataFrame:
 
 def market_features_wide(bars: DataFrame, series: Series = DAILY) -> DataFrame:
     """All 32 derived columns, rows complete in every one of them."""
-    built = series.blocked(EMA_BLOCK_ROWS).apply(
+    groups = (
+        returns, sma, smooth, momentum, rsi, macd, volatility, drawdown, volume_change, volume_level
+    )
+    built = _apply(
         bars,
-        _chain(
-            add_returns,
-            add_sma,
-            add_ema,
-            add_momentum,
-            add_rsi,
-            add_macd,
-            add_volatility,
-            add_drawdown,
-            add_volume,
-        ),
+        series.blocked(EMA_BLOCK_ROWS),
+        *groups,
         back=max(REACH_MACD, REACH_DRAWDOWN),
     )
     return built.select(*[F.col(f"`{c}`") for c in bars.columns], *WIDE_FEATURES).dropna(

@@ -8,11 +8,7 @@ from pyspark.sql import functions as F
 from barlake.functions.ranks import quantiles
 from barlake.functions.scalars import loss
 from barlake.functions.series import DAILY, Series, lag, lead, roll, roll_partial
-from barlake.operators.features import (
-    HORIZON,
-    add_forward_returns,
-    label_three_classes,
-)
+from barlake.operators.features import HORIZON, add, forward, label_three_classes
 from barlake.schemas import BASELINE_FEATURES, NEWS_FEATURES, DataContractError
 
 SENTIMENT_COLUMNS = ["sentiment_mean", "sentiment_std", "news_volume", "sentiment_momentum"]
@@ -88,7 +84,7 @@ def labelled_dataset(joined: DataFrame, series: Series = DAILY, use_news: bool =
     news = [c for c in features if c in NEWS_FEATURES]
 
     def build(df: DataFrame, w: WindowSpec) -> DataFrame:
-        ahead = add_forward_returns(df, w)
+        ahead = add(df, w, forward)
         return ahead.withColumn("_later", lead(F.col(series.time), HORIZON, w))
 
     rows = series.apply(joined, build, back=0, forward=HORIZON)
@@ -156,7 +152,7 @@ def sentiment_pressure(df: DataFrame, series: Series = DAILY, rows: int = 5) ->
     def build(frame: DataFrame, w: WindowSpec) -> DataFrame:
         negative = -loss(F.col("sentiment_anomaly"))
         pressed = frame.withColumn("sentiment_pressure", roll(negative, rows, F.sum, w))
-        return add_forward_returns(pressed, w)
+        return add(pressed, w, forward)
 
     return series.apply(df, build, back=rows, forward=HORIZON)
 
