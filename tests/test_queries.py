@@ -1,8 +1,9 @@
-"""Every named query against its reference SQL."""
+"""Every named query against its reference SQL, and the shape of its plan."""
 
 import compare
 import pytest
 from conftest import SF_DIR
+from test_plans import check_plan
 
 import __spark_entry__ as driver
 from barlake.plans.oracles import ORACLES
@@ -23,7 +24,9 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_reference_sql(spark, con, name):
-    result = QUERIES[name](spark, SF_DIR).toPandas()
+    df = QUERIES[name](spark, SF_DIR)
+    check_plan(df)
+    result = df.toPandas()
     expected = con.execute(ORACLES[name]).df()
     assert compare.differences(result, expected) == ""
 
