@@ -89,12 +89,12 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
+BASE = 0x9E3779B97F4A7C15 | 1
+INVERSE = pow(BASE, -1, 1 << 64)
 _POWERS: dict[int, np.ndarray] = {}
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+def powers(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64."""
     have = _POWERS.get(base)
     if have is None or len(have) < n:
@@ -127,8 +127,8 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     if not len(starts):
         return np.zeros(0, np.uint64)
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, n), out=total[1:])
-    return mix((total[ends] - total[starts]) * _powers(_INVERSE, n)[starts])
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(BASE, n), out=total[1:])
+    return mix((total[ends] - total[starts]) * powers(INVERSE, n)[starts])
 
 
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import secrets, sharding
+from barlake.llm import decontaminate, secrets, sharding, simhash
 from barlake.llm.common import table
 
 SHARDS = 24
@@ -39,5 +39,23 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_sharding": op1_sharding, "op4_secrets": op4_secrets}
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+QUERIES = {
+    "op1_sharding": op1_sharding,
+    "op4_secrets": op4_secrets,
+    "op7_simhash": op7_simhash,
+    "op10_decontaminate": op10_decontaminate,
+}
 ORACLES: dict[str, str] = {}
