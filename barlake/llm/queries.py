@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import decontaminate, secrets, sharding, simhash
+from barlake.llm import decontaminate, packing, secrets, sharding, simhash
 from barlake.llm.common import table
 
 SHARDS = 24
@@ -39,6 +39,10 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents")).drop("doc_key")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -55,6 +59,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op4_secrets": op4_secrets,
+    "op5_packing": op5_packing,
     "op7_simhash": op7_simhash,
     "op10_decontaminate": op10_decontaminate,
 }
