@@ -34,6 +34,8 @@ TOKENIZER = "word_bpe_49k.json"
 CACHE_WORDS = 300_000
 #: Columns the linear program may add; the patterns found so far are feasible at any point.
 MAX_COLUMNS = 4000
+#: Share above the sum of all lengths at which the program counts as solved.
+GAP = 2e-4
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -138,13 +140,17 @@ def solve_patterns(
     """Patterns (rows) and how often each is used in an optimal basis of the linear program.
 
     Revised simplex with the inverse of the basis; it starts from patterns of one
-    class each. Stops at optimality or after ``max_columns`` columns.
+    class each. Stops at optimality, within ``GAP`` of full sequences, or after
+    ``max_columns`` columns.
     """
     m = len(sizes)
     basis = np.diag(np.maximum(1, np.minimum(capacity // sizes, counts))).astype(float)
     inverse = np.diag(1.0 / np.diag(basis))
     use = inverse @ counts.astype(float)
+    bound = float(sizes @ counts) / capacity * (1 + GAP)
     for _ in range(max_columns):
+        if use.sum() <= bound:
+            break
         value, pattern = _best_pattern(inverse.sum(axis=0), sizes, capacity)
         if value <= 1 + 1e-7:
             break

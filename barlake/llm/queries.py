@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import decontaminate, packing, secrets, sharding, simhash
+from barlake.llm import decontaminate, packing, quality, secrets, sharding, simhash
 from barlake.llm.common import table
 
 SHARDS = 24
@@ -43,6 +43,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents")).drop("doc_key")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -60,6 +64,7 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op4_secrets": op4_secrets,
     "op5_packing": op5_packing,
+    "op6_quality": op6_quality,
     "op7_simhash": op7_simhash,
     "op10_decontaminate": op10_decontaminate,
 }
