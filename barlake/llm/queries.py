@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import decontaminate, packing, quality, secrets, sharding, simhash
+from barlake.llm import decontaminate, langid, packing, quality, secrets, sharding, simhash
 from barlake.llm.common import table
 
 SHARDS = 24
@@ -24,6 +24,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
     return found.select(
@@ -62,6 +66,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_langid": op2_langid,
     "op4_secrets": op4_secrets,
     "op5_packing": op5_packing,
     "op6_quality": op6_quality,
