@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import decontaminate, langid, packing, quality, secrets, sharding, simhash
+from barlake.llm import decontaminate, langid, outliers, packing, quality, secrets, sharding, simhash
 from barlake.llm.common import table
 
 SHARDS = 24
@@ -58,6 +58,20 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "distance",
+    )
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -71,6 +85,7 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op6_quality": op6_quality,
     "op7_simhash": op7_simhash,
+    "op9_outliers": op9_outliers,
     "op10_decontaminate": op10_decontaminate,
 }
 ORACLES: dict[str, str] = {}
