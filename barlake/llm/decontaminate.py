@@ -14,10 +14,11 @@ words, and each block meets every document in one pass without a shuffle.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -242,11 +243,13 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
     kept = docs
     for block in blocks_of(benchmark, least, block_words):
         sent = docs.sparkSession.sparkContext.broadcast(block)
+        kept = kept.where(F.pandas_udf(_clean_by(sent, coverage), "boolean")("text"))
+    return kept
 
-        @F.pandas_udf("boolean")
-        def clean(texts: pd.Series, sent=sent) -> pd.Series:
-            found = matches_of(texts.tolist(), sent.value)
-            return pd.Series([not any(p[1] >= coverage * p[2] for p in pairs) for pairs in found], dtype=bool)
 
-        kept = kept.where(clean("text"))
-    return kept
+def _clean_by(sent: Broadcast, coverage: float) -> Callable[[pd.Series], pd.Series]:
+    def clean(texts: pd.Series) -> pd.Series:
+        found = matches_of(texts.tolist(), sent.value)
+        return pd.Series([not any(p[1] >= coverage * p[2] for p in pairs) for pairs in found], dtype=bool)
+
+    return clean
