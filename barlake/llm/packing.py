@@ -34,8 +34,8 @@ TOKENIZER = "word_bpe_49k.json"
 CACHE_WORDS = 300_000
 #: Columns the linear program may add; the patterns found so far are feasible at any point.
 MAX_COLUMNS = 4000
-#: Share above the sum of all lengths at which the program counts as solved.
-GAP = 2e-4
+#: Share above a lower bound (all sequences full, or the dual bound) at which the program counts as solved.
+GAP = 5e-4
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -152,7 +152,7 @@ def solve_patterns(
         if use.sum() <= bound:
             break
         value, pattern = _best_pattern(inverse.sum(axis=0), sizes, capacity)
-        if value <= 1 + 1e-7:
+        if value <= 1 + GAP:
             break
         direction = inverse @ pattern
         candidates = np.flatnonzero(direction > 1e-9)

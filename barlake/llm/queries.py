@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import decontaminate, langid, outliers, packing, quality, secrets, sharding, simhash
+from barlake.llm import decontaminate, langid, outliers, packing, quality, secrets, sharding, simhash, suffix_dedup
 from barlake.llm.common import table
 
 SHARDS = 24
@@ -28,6 +28,10 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
     return found.select(
@@ -81,6 +85,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_langid": op2_langid,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_secrets": op4_secrets,
     "op5_packing": op5_packing,
     "op6_quality": op6_quality,
