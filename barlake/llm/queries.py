@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import decontaminate, langid, outliers, packing, quality, secrets, sharding, simhash, suffix_dedup
+from barlake.llm import decontaminate, langid, licenses, outliers, packing, quality, secrets, sharding, simhash, suffix_dedup
 from barlake.llm.common import table
 
 SHARDS = 24
@@ -62,6 +62,17 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: ``source/lang/doc_id``."""
+    files = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("file_key"),
+        F.concat_ws("/", F.coalesce("source", F.lit("_")), F.coalesce("lang", F.lit("_")), F.col("doc_id").cast("string")).alias("path"),
+        "text",
+    )
+    found = licenses.scan_licenses(files)
+    return found.select(F.col("file_key").alias("doc_id"), "path", "license", "cosine", "origin")
+
+
 def op9_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.judge(table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -90,6 +101,7 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op6_quality": op6_quality,
     "op7_simhash": op7_simhash,
+    "op8_licenses": op8_licenses,
     "op9_outliers": op9_outliers,
     "op10_decontaminate": op10_decontaminate,
 }
