@@ -42,6 +42,8 @@ _HAS_LETTER = regex.compile(r"\p{L}")
 
 def code_of(languages: int, seed: int = 42) -> np.ndarray:
     """Codewords (rows): all distinct columns for few languages, else the best of many random codes."""
+    if languages < 2:
+        return np.zeros((languages, 0), np.int8)
     if languages <= EXHAUSTIVE:
         columns = [[1 if c >> r & 1 else -1 for r in range(languages)] for c in range(1, 1 << (languages - 1))]
         return np.array(columns, np.int8).T.reshape(languages, -1)

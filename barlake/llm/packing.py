@@ -13,13 +13,17 @@ so the assignment is a lookup in a table bounded by the classes.
 
 from __future__ import annotations
 
+import json
 import os
+import struct
+import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,8 +34,8 @@ SEQUENCE = 4096
 CLASS_TOKENS = 8
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
-#: Words a task keeps the ids of, before it starts over.
-CACHE_WORDS = 300_000
+#: Words a Python worker keeps the ids of, before it starts over.
+CACHE_WORDS = 400_000
 #: Columns the linear program may add; the patterns found so far are feasible at any point.
 MAX_COLUMNS = 4000
 #: Share above a lower bound (all sequences full, or the dual bound) at which the program counts as solved.
@@ -44,38 +48,102 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-@cache
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    from tokenizers import Tokenizer
+#: The splitting rule of the standard tokenizer file, and its normaliser's steps. For files with
+#: other ones texts are encoded whole.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_STEPS = ["NFC", "Replace", "Lowercase"]
+#: Latin letters, whose small forms do not depend on their neighbours; controls are left out.
+_PLAIN = regex.compile(r"[!-~\u00a1-\u024f]*")
+
+
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if printable, else 256 + n."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = iter(range(256, 512))
+    return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
+
+
+class _Learnt(dict):
+    """A dictionary that works out what it is first asked for."""
 
-    return Tokenizer.from_file(path)
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key: str) -> bytes:
+        self[key] = value = self.make(key)
+        return value
 
 
 class Encoder:
     """Ids of texts as little-endian 32-bit numbers, end id included.
 
-    The tokenizer drops white space and never joins words across it, so the ids of
-    a text are those of its words one after another; a word is encoded once as
-    long as the cache has it.
+    The standard tokenizer drops white space and never joins words across it, so the
+    ids of a text are those of its words one after another. Words are split once
+    into the parts its rule makes, and the model encodes a part once; both are kept
+    up to ``cache_words`` of them. Words beyond plain Latin take the whole tokenizer.
     """
 
     def __init__(self, path: str, end_id: int = END_ID, cache_words: int = CACHE_WORDS):
-        self.tokenizer = _tokenizer(path)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
         self.end = int(end_id).to_bytes(4, "little")
         self.cache_words = cache_words
-        self.known: dict[str, bytes] = {"": b""}
+        self.model = self.tokenizer.model
+        self.words = _Learnt(self.word)
+        self.words[""] = b""
+        self.parts = _Learnt(self.part)
+        self.letters = _byte_letters()
+        self.split = regex.compile(_PATTERN)
+        rules = json.loads(self.tokenizer.to_str())
+        steps = (rules.get("normalizer") or {}).get("normalizers", [])
+        cuts = (rules.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        self.by_word = (
+            [x["type"] for x in steps] == _STEPS
+            and [x["type"] for x in cuts] == ["Split", "ByteLevel"]
+            and cuts[0]["pattern"] == {"Regex": _PATTERN}
+        )
+
+    def whole(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def part(self, part: str) -> bytes:
+        spelled = part if part.isascii() else "".join(map(self.letters.__getitem__, part.encode()))
+        ids = [token.id for token in self.model.tokenize(spelled)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def word(self, word: str) -> bytes:
+        if not (word.isascii() and word.isprintable()):
+            if not _PLAIN.fullmatch(word) or not unicodedata.is_normalized("NFC", word):
+                return self.whole(word)
+        if "<|" in word:
+            return self.whole(word)
+        word = word.lower()
+        if word.isalpha():
+            return self.parts[word]
+        return b"".join(map(self.parts.__getitem__, self.split.findall(word)))
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         for text in texts:
+            if not self.by_word:
+                yield self.whole(text or "") + self.end
+                continue
+            if len(self.words) > self.cache_words:
+                self.words.clear()
+                self.words[""] = b""
+            if len(self.parts) > self.cache_words:
+                self.parts.clear()
             words = (text or "").replace("\n", " ").split(" ")
-            if new := [w for w in set(words) if w not in self.known]:
-                if len(self.known) + len(new) > self.cache_words:
-                    self.known = {"": b""}
-                    new = [w for w in set(words) if w]
-                for word, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-                    self.known[word] = np.array(found.ids, "<u4").tobytes()
-            yield b"".join([*map(self.known.__getitem__, words), self.end])
+            yield b"".join([*map(self.words.__getitem__, words), self.end])
+
+
+@cache
+def encoder_of(path: str, end_id: int) -> Encoder:
+    """One encoder a Python worker: what it has learnt serves the worker's later tasks too."""
+    return Encoder(path, end_id)
 
 
 def cut_pieces(docs: DataFrame, path: str, sequence: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
@@ -87,7 +155,7 @@ def cut_pieces(docs: DataFrame, path: str, sequence: int = SEQUENCE, end_id: int
     """
 
     def pieces(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(path, end_id)
+        encoder = encoder_of(path, end_id)
         for frame in frames:
             rows = []
             for doc_id, key, ids in zip(frame["doc_id"], frame["doc_key"], encoder.encode(frame["text"].tolist())):
@@ -285,7 +353,7 @@ def sequences(docs: DataFrame, packed: DataFrame, tokenizer: str | None = None,
     path = tokenizer or tokenizer_path()
 
     def tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(path, end_id)
+        encoder = encoder_of(path, end_id)
         for frame in frames:
             ids = [np.frombuffer(x, "<u4").astype("int32") for x in encoder.encode(frame["text"].tolist())]
             yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "doc_key": frame["doc_key"], "ids": ids})
