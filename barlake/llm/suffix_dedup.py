@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,7 +46,7 @@ from barlake.llm.common import (
 
 WINDOW, GRAM = 50, 24
 #: Bytes of text in a chunk (or one document), and behind a part of the digits and of the runs.
-CHUNK_BYTES, DIGIT_BYTES, RUN_BYTES, BUCKET_BYTES = 4 << 20, 8 << 20, 4 << 20, 16 << 20
+CHUNK_BYTES, DIGIT_BYTES, RUN_BYTES, BUCKET_BYTES = 1 << 20, 8 << 20, 4 << 20, 16 << 20
 #: Runs of one digit that may meet in one task.
 HOT_RUNS = 4096
 _DIGIT_BITS = 48
@@ -249,7 +250,7 @@ def _sent_runs(digit_parts: int, run_parts: int):
                             first[own].astype("<u4").tobytes(),
                             windows[own].astype("<u4").tobytes(),
                             owner[own].astype("<i8").tobytes(),
-                            data[bytes_at].tobytes(),
+                            zstandard.compress(data[bytes_at].tobytes(), 3),
                             settled.astype("<u4").tobytes(),
                         )
                     )
@@ -294,7 +295,7 @@ def _answer_runs(rows: pd.DataFrame) -> pd.DataFrame:
     first = [np.frombuffer(b, "<u4").astype(np.int64) for b in rows["first"]]
     windows = [np.frombuffer(b, "<u4").astype(np.int64) for b in rows["windows"]]
     owner = np.concatenate([np.frombuffer(b, "<i8") for b in rows["owner"]])
-    data = np.frombuffer(b"".join(rows["bytes"]), np.uint8)
+    data = np.frombuffer(b"".join(map(zstandard.decompress, rows["bytes"])), np.uint8)
     amount = np.concatenate(windows)
     sizes = amount + WINDOW - 1
     at = _stretches(np.cumsum(sizes) - sizes, amount)
@@ -362,7 +363,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         .write.format("parquet")
         .option("path", f"{shared_dir(spark)}/barlake-llm/{name}")
         .option("compression", "zstd")
-        .bucketBy(parts(BUCKET_BYTES), "chunk")
+        # Fewer buckets than shuffle partitions would be shuffled after all.
+        .bucketBy(max(parts(BUCKET_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions"))), "chunk")
         .saveAsTable(name)
     )
     chunks = spark.table(name)
