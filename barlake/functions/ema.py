@@ -1,10 +1,14 @@
 """Exponential moving averages as running sums inside bounded blocks.
 
-The non-adjusted average ``y0 = x0``, ``yt = a*xt + (1-a)*y(t-1)`` with
-``a = 2/(span+1)`` unrolls to ``yt = q^t * (x0 + sum of a*q^-i*xi, i=1..t)``
-with ``q = 1-a``: one running sum. Weights older than ``memory(span)`` rows are
-below double precision, so a block that starts that many rows early gives the
-same value as the whole series, and blocks short enough keep ``q^-i`` finite.
+The non-adjusted average starts at the first value present. A later value x, g rows
+after the last one present, gives ``y = c*y + (1-c)*x`` with ``c = q^g / (q^g + a)``,
+``a = 2/(span+1)`` and ``q = 1-a``; without gaps c is q. Rows without a value hold the
+average. With S, the running sum of log c, this unrolls to
+``y = exp(S) * sum of (1-c) * x * exp(-S)``: two running sums. Each value present
+shrinks older weights by q at least, so after ``memory(span)`` of them they are below
+double precision, and a block that starts that many values early gives the same
+result as the whole series. Blocks are short enough to keep ``exp(-S)`` finite if
+some ten in a hundred rows of a stretch have a value.
 """
 
 from __future__ import annotations
@@ -31,17 +35,34 @@ def memory(span: int) -> int:
 
 
 def step(w: WindowSpec) -> Column:
-    """Row number inside the block; :func:`ema` reads it as column ``STEP``."""
+    """Row number inside the block; the other functions read it as column ``STEP``."""
     return F.row_number().over(w) - 1
 
 
-def ema(x: Column, span: int, w: WindowSpec) -> Column:
-    """EMA of a column without NULLs, for frames with a ``STEP`` column.
+def gap(x: Column, w: WindowSpec) -> Column:
+    """Rows since the last value present before this one; NULL if there was none. Reads ``STEP``."""
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    return F.col(STEP) - F.last(F.when(x.isNotNull(), F.col(STEP)), ignorenulls=True).over(before)
+
+
+def _kept(rows: Column, span: int) -> Column:
+    """Share of the old average that a value ``rows`` rows after the last one leaves."""
+    old = F.pow(F.lit(1.0 - alpha(span)), rows)
+    return old / (old + alpha(span))
+
+
+def fading(x: Column, rows: Column, span: int, w: WindowSpec) -> Column:
+    """Running sum of the logarithms of the kept shares."""
+    running = w.rowsBetween(Window.unboundedPreceding, 0)
+    faded = F.when(x.isNotNull() & rows.isNotNull(), F.log(_kept(rows, span)))
+    return F.coalesce(F.sum(faded).over(running), F.lit(0.0))
+
+
+def ema(x: Column, rows: Column, faded: Column, span: int, w: WindowSpec) -> Column:
+    """EMA of x from its :func:`gap` and :func:`fading` columns; NULL before the first value.
 
     ``w`` must be a window over blocks of at most a few thousand rows.
     """
-    a, q = alpha(span), 1.0 - alpha(span)
-    at = F.col(STEP)
-    share = F.when(at == 0, F.lit(1.0)).otherwise(F.lit(a))
     running = w.rowsBetween(Window.unboundedPreceding, 0)
-    return F.pow(F.lit(q), at) * F.sum(share * F.pow(F.lit(q), -at) * x).over(running)
+    share = F.coalesce(1 - _kept(rows, span), F.lit(1.0))
+    return F.exp(faded) * F.sum(share * F.exp(-faded) * x).over(running)

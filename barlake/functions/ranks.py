@@ -1,12 +1,14 @@
 """Global ranks, running totals and exact quantiles without one big sort group.
 
-All levels are ordinary Spark aggregations and windows:
-
-1. approximate percentiles give cut points, so every bucket holds about the
-   same number of rows however skewed the values are; the cut points only
-   balance the work, results do not depend on their accuracy;
-2. bucket totals (a few hundred rows per key) are accumulated in bucket order;
-3. a window inside each bucket finishes the job.
+1. A range exchange deals the rows by (keys, order) into stretches of about equal
+   size, whatever key or value is hot; their number is that of the session's
+   shuffle partitions. The stretches are written to the shared folder once, so
+   that every later step sees the same ones.
+2. The totals of the stretches (one row a key and stretch) are accumulated.
+3. A window inside each stretch finishes the job.
+
+Results do not depend on where the stretches are cut. Missing keys are a group of
+their own; no row is lost.
 """
 
 from __future__ import annotations
@@ -18,27 +20,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlake.functions.scalars import col
+from barlake.functions.scratch import written
 
-BUCKETS = 128
-# Cut points are searched in two levels: the ends of groups of this many, then
-# the points of one group.
-_GROUP = 12
-
-
-def _cut_points(x: Column, buckets: int) -> Column:
-    shares = [i / buckets for i in range(1, buckets)]
-    return F.array_distinct(F.percentile_approx(x, shares, 20 * buckets))
+_STRETCH = "_stretch"
 
 
-def _group_ends(cuts: str) -> Column:
-    return F.filter(cuts, lambda c, i: i % _GROUP == _GROUP - 1)
+def stretches(df: DataFrame, by: Sequence[str | Column], parts: int | None = None) -> DataFrame:
+    """``df`` with the number of the range of ``by`` that each row lies in."""
+    ordered = [col(c) for c in by]
+    dealt = df.repartitionByRange(parts, *ordered) if parts else df.repartitionByRange(*ordered)
+    return written(dealt.withColumn(_STRETCH, F.spark_partition_id()), "stretches")
 
 
-def _below(ends: str, cuts: str, x: Column) -> Column:
-    """Number of cut points smaller than x; both names are sorted array columns."""
-    skipped = F.size(F.filter(ends, lambda c: c < x)) * _GROUP
-    group = F.slice(cuts, skipped + 1, F.lit(_GROUP))
-    return skipped + F.size(F.filter(group, lambda c: c < x))
+def join_nullsafe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner join on columns that may be missing; the columns of ``left``, then the rest of ``right``."""
+    rest = [c for c in right.columns if c not in on]
+    renamed = right.select(*[col(c).alias(f"_right_{c}") for c in on], *[col(c) for c in rest])
+    same = reduce(Column.__and__, [left[f"`{c}`"].eqNullSafe(renamed[f"`_right_{c}`"]) for c in on])
+    return left.join(renamed, same).select(*[left[f"`{c}`"] for c in left.columns], *[renamed[f"`{c}`"] for c in rest])
 
 
 def index_rows(
@@ -47,46 +46,26 @@ def index_rows(
     time: str,
     tie: str,
     name: str,
-    buckets: int = BUCKETS,
+    parts: int | None = None,
 ) -> DataFrame:
     """Add the 0-based position of each row in (time, tie) order, per key.
 
-    A time stamp frequent enough to be a cut point gets buckets of its own,
-    which are split further by ``tie``; so no bucket grows with one hot time
-    stamp either. ``(keys, time, tie)`` must be unique.
+    Rows without time come first. Rows equal in (keys, time, tie) take adjacent
+    positions in any order.
     """
     keys = list(keys)
-    cuts = (
-        df.groupBy(*keys)
-        .agg(
-            _cut_points(col(time), buckets).alias("_time_cuts"),
-            _cut_points(col(tie), buckets).alias("_tie_cuts"),
-        )
-        .withColumns({"_time_ends": _group_ends("_time_cuts"), "_tie_ends": _group_ends("_tie_cuts")})
-    )
-    t, k = col(time), col(tie)
-    is_cut = F.array_contains("_time_cuts", t)
-    rows = df.join(cuts, keys).select(
-        *[col(c) for c in df.columns],
-        (2 * _below("_time_ends", "_time_cuts", t) + is_cut.cast("int")).alias("_at"),
-        F.when(is_cut, _below("_tie_ends", "_tie_cuts", k)).otherwise(0).alias("_part"),
-    )
-    where = [*keys, "_at", "_part"]
-    totals = rows.groupBy(*where).agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_at", "_part").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = totals.select(
-        *where, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
+    rows = stretches(df, [*keys, time, tie], parts)
+    where = [*keys, _STRETCH]
+    before = Window.partitionBy(*keys).orderBy(_STRETCH).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        rows.groupBy(*where)
+        .agg(F.count("*").alias("_n"))
+        .select(*where, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     )
     inside = Window.partitionBy(*where).orderBy(time, tie)
-    return (
-        rows.withColumn("_local", F.row_number().over(inside))
-        .join(offsets, where)
-        .select(
-            *[col(c) for c in df.columns],
-            (F.col("_offset") + F.col("_local") - 1).alias(name),
-        )
+    local = rows.withColumn("_local", F.row_number().over(inside))
+    return join_nullsafe(local, offsets, where).select(
+        *[col(c) for c in df.columns], (F.col("_offset") + F.col("_local") - 1).alias(name)
     )
 
 
@@ -95,62 +74,48 @@ def running_totals(
     keys: Sequence[str],
     value: str,
     counts: dict[str, Column],
-    buckets: int = BUCKETS,
+    parts: int | None = None,
 ) -> DataFrame:
     """One row per key and distinct value with running totals of ``counts``.
 
     ``counts`` maps names to row-level numbers, not negative, that are summed.
     Each name ``c`` yields ``c`` (at this value), ``c_before`` (strictly smaller
     values) and ``c_total``; ``next_value`` is the next larger value or NULL.
-    Values that count for nothing are left out. Repeated values collapse before
-    the shuffle, so a hot value costs one row.
-
-    That filter reads all columns of the aggregation in each of its three uses
-    below, which keeps the uses identical: Spark runs the exchange once.
+    Missing values and values that count for nothing are left out. Repeated values
+    collapse before the shuffle, so a hot value costs one row.
     """
     keys = list(keys)
     names = list(counts)
     counted = reduce(Column.__add__, [F.col(n) for n in names])
     distinct = (
-        df.groupBy(*keys, value)
+        df.where(col(value).isNotNull())
+        .groupBy(*keys, value)
         .agg(*[F.sum(x).alias(n) for n, x in counts.items()])
-        .where(F.when(col(value).isNotNull(), counted) > 0)
-    )
-    cuts = (
-        distinct.groupBy(*keys)
-        .agg(
-            _cut_points(col(value), buckets).alias("_cuts"),
-            *[F.sum(n).alias(f"{n}_total") for n in names],
-        )
-        .withColumn("_ends", _group_ends("_cuts"))
-    )
-    rows = distinct.join(cuts, keys).select(
-        *keys,
-        col(value),
-        *names,
-        *[f"{n}_total" for n in names],
-        _below("_ends", "_cuts", col(value)).alias("_at"),
+        .where(counted > 0)
     )
-    by_bucket = Window.partitionBy(*keys).orderBy("_at")
-    before = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
+    rows = stretches(distinct, [*keys, value], parts)
+    where = [*keys, _STRETCH]
+    by_key = Window.partitionBy(*keys)
+    in_order = by_key.orderBy(_STRETCH)
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        rows.groupBy(*keys, "_at")
+        rows.groupBy(*where)
         .agg(F.min(col(value)).alias("_first"), *[F.sum(n).alias(f"_{n}") for n in names])
         .select(
-            *keys,
-            "_at",
-            F.lead("_first").over(by_bucket).alias("_next_first"),
+            *where,
+            F.lead("_first").over(in_order).alias("_next_first"),
             *[F.coalesce(F.sum(f"_{n}").over(before), F.lit(0)).alias(f"_{n}_offset") for n in names],
+            *[F.sum(f"_{n}").over(by_key).alias(f"{n}_total") for n in names],
         )
     )
-    inside = Window.partitionBy(*keys, "_at").orderBy(value)
+    inside = Window.partitionBy(*where).orderBy(value)
     inside_before = inside.rowsBetween(Window.unboundedPreceding, -1)
     local = rows.select(
         "*",
         F.lead(col(value)).over(inside).alias("_next"),
         *[F.coalesce(F.sum(n).over(inside_before), F.lit(0)).alias(f"_{n}_local") for n in names],
     )
-    return local.join(offsets, [*keys, "_at"]).select(
+    return join_nullsafe(local, offsets, where).select(
         *keys,
         col(value),
         F.coalesce("_next", "_next_first").alias("next_value"),

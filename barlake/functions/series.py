@@ -23,20 +23,24 @@ from barlake.functions.scalars import col
 
 BLOCK = "_block"
 POSITION = "_position"
+INDEX = "_index"
 
 
 @dataclass(frozen=True)
 class Series:
     """How the rows of a table form series.
 
-    ``tie`` makes the order total when several rows share ``time``; it must be
-    numeric. ``block_rows`` turns on blocks.
+    ``tie`` makes the order total when several rows share ``time``. ``block_rows``
+    turns on blocks. With ``present``, blocks and their reach count only rows where
+    that column has a value; rows without one stay with the row before (calendar
+    series only: with ``tie`` every row counts).
     """
 
     keys: tuple[str, ...] = ("symbol",)
     time: str = "Date"
     tie: str | None = None
     block_rows: int | None = None
+    present: str | None = None
 
     @property
     def order(self) -> list[str]:
@@ -46,8 +50,8 @@ class Series:
         """One window group per key: only for calendar series."""
         return Window.partitionBy(*self.keys).orderBy(*self.order)
 
-    def blocked(self, block_rows: int) -> "Series":
-        return replace(self, block_rows=block_rows)
+    def blocked(self, block_rows: int, present: str | None = None) -> "Series":
+        return replace(self, block_rows=block_rows, present=present)
 
     def with_positions(self, df: DataFrame) -> DataFrame:
         """Add the 0-based row number of every row within its series."""
@@ -69,16 +73,24 @@ class Series:
         """
         if self.block_rows is None:
             return build(df, self.window())
-        size = self.block_rows
-        position = F.col(POSITION)
-        first = F.greatest(position - forward, F.lit(0))
-        copies = self.with_positions(df).withColumn(
+        size, index = self.block_rows, F.col(INDEX)
+        first = F.greatest(index - forward, F.lit(0))
+        copies = self._indexed(df).withColumn(
             BLOCK,
-            F.explode(F.sequence(F.floor(first / size), F.floor((position + back) / size))),
+            F.explode(F.sequence(F.floor(first / size), F.floor((index + back) / size))),
         )
         w = Window.partitionBy(*self.keys, BLOCK).orderBy(POSITION)
         built = build(copies, w)
-        return built.where(F.floor(position / size) == F.col(BLOCK)).drop(BLOCK, POSITION)
+        return built.where(F.floor(index / size) == F.col(BLOCK)).drop(BLOCK, POSITION, INDEX)
+
+    def _indexed(self, df: DataFrame) -> DataFrame:
+        """Add the position of every row and the number its block goes by."""
+        placed = self.with_positions(df)
+        if self.present is None or self.tie is not None:
+            return placed.withColumn(INDEX, F.col(POSITION))
+        running = self.window().rowsBetween(Window.unboundedPreceding, 0)
+        seen = F.count(col(self.present)).over(running)
+        return placed.withColumn(INDEX, F.greatest(seen - 1, F.lit(0)))
 
 
 DAILY = Series()

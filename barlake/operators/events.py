@@ -33,9 +33,13 @@ def event_list(spark: SparkSession, dates: Sequence, symbol: str, kind: str = "d
 
 
 def _covered_steps(events: DataFrame, steps: int, unit: str) -> DataFrame:
-    """(event, step) pairs for the steps in [event - steps, event)."""
-    one = STEPS[unit]
-    covered = F.expr(f"sequence(event_date - {steps} * {one}, event_date - {one}, {one})")
+    """(event, step) pairs for the whole steps in [event - steps, event); events at any time."""
+    one, kind = STEPS[unit], events.schema["event_date"].dataType.simpleString()
+    floor = f"CAST(CAST(event_date AS DATE) AS {kind})"
+    if unit == "hour":
+        floor = f"timestampadd(HOUR, hour(event_date), {floor})"
+    edge = f"CASE WHEN {floor} = event_date THEN event_date ELSE {floor} + {one} END"
+    covered = F.expr(f"sequence({edge} - {steps} * {one}, {edge} - {one}, {one})")
     return events.withColumn("Date", F.explode(covered))
 
 
@@ -44,7 +48,7 @@ def pre_event_rows(
 ) -> DataFrame:
     """Rows in the window before each event; a row covered twice appears twice.
 
-    ``Date`` and the event dates must be whole steps.
+    ``Date`` must be a whole step, the event may be at any time.
     """
     return df.join(_covered_steps(events, steps, unit), ["symbol", "Date"])
 
@@ -57,12 +61,29 @@ def rows_outside_events(
     return df.join(covered, ["symbol", "Date"], "left_anti")
 
 
-def _event_positions(df: DataFrame, events: DataFrame) -> DataFrame:
+def event_positions(df: DataFrame, events: DataFrame, series: Series = DAILY) -> DataFrame:
     """Events with ``_at``, the position of the first row at or after the event.
 
     Events are sorted into the series as extra rows and the rows before each
-    one are counted: an as-of join by one window, without pairing rows.
+    one are counted: an as-of join by one window, without pairing rows. In a long
+    series the positions of rows and events together are found in stretches, and
+    the few earlier events are taken off.
     """
+    if series.tie is not None and series.block_rows is not None:
+        tie = df.schema[series.tie].dataType
+        marks = df.select("symbol", "Date", series.tie).unionByName(
+            # A missing tie sorts first: an event stands before the rows of its own time.
+            events.select("symbol", F.col("event_date").alias("Date"), F.lit(None).cast(tie).alias(series.tie), F.col("event_id").alias("_event")),
+            allowMissingColumns=True,
+        )
+        placed = series.with_positions(marks).where(F.col("_event").isNotNull())
+        same = Window.partitionBy("symbol", "Date")
+        before_it = F.rank().over(Window.partitionBy("symbol").orderBy("Date")) - 1
+        return placed.select(
+            "symbol",
+            F.col("_event").alias("event_id"),
+            (F.min(POSITION).over(same) - before_it).alias("_at"),
+        )
     marks = df.select(
         "symbol", "Date", F.lit(None).cast("int").alias("event_id"), F.lit(1).alias("_row")
     ).unionByName(
@@ -82,7 +103,7 @@ def _event_positions(df: DataFrame, events: DataFrame) -> DataFrame:
 
 def _around(df: DataFrame, events: DataFrame, first: int, last: int, series: Series) -> DataFrame:
     """Rows at offsets first..last from each event, by position."""
-    wanted = _event_positions(df, events).withColumn(
+    wanted = event_positions(df, events, series).withColumn(
         "offset", F.explode(F.sequence(F.lit(first), F.lit(last)))
     )
     wanted = wanted.withColumn(POSITION, F.col("_at") + F.col("offset"))

@@ -12,10 +12,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from itertools import zip_longest
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from barlake.functions.ema import EMA_BLOCK_ROWS, STEP, ema, memory, step
+from barlake.functions.ema import EMA_BLOCK_ROWS, STEP, ema, fading, gap, memory, step
 from barlake.functions.scalars import finite_or_null, gain, loss, ratio
 from barlake.functions.series import DAILY, Series, lag, lead, roll
 from barlake.schemas import FEATURES, TARGET
@@ -160,23 +160,42 @@ def volume_level(w: WindowSpec) -> Layers:
     ]
 
 
-def smooth(w: WindowSpec) -> Layers:
-    """``w`` must range over bounded blocks; see :mod:`barlake.functions.ema`."""
+def _faded(spans: tuple[int, ...], w: WindowSpec) -> Layers:
+    """Helper columns of the EMAs of ``Close``."""
     close = F.col("Close")
     return [
         {STEP: step(w)},
-        {f"ema_{n}": ema(close, n, w) for n in (10, 20)},
-        {f"ema_ratio_{n}": ratio(close, F.col(f"ema_{n}")) - 1 for n in (10, 20)},
+        {"_gap": gap(close, w)},
+        {f"_faded_{n}": fading(close, F.col("_gap"), n, w) for n in spans},
     ]
 
 
-def macd(w: WindowSpec) -> Layers:
+def _close_ema(span: int, w: WindowSpec) -> Column:
+    return ema(F.col("Close"), F.col("_gap"), F.col(f"_faded_{span}"), span, w)
+
+
+def smooth(w: WindowSpec) -> Layers:
     """``w`` must range over bounded blocks; see :mod:`barlake.functions.ema`."""
-    close, line = F.col("Close"), F.col("macd")
     return [
-        {STEP: step(w)},
-        {"macd": ema(close, 12, w) - ema(close, 26, w)},
-        {"macd_signal": ema(line, 9, w)},
+        *_faded((10, 20), w),
+        {f"ema_{n}": _close_ema(n, w) for n in (10, 20)},
+        {f"ema_ratio_{n}": ratio(F.col("Close"), F.col(f"ema_{n}")) - 1 for n in (10, 20)},
+    ]
+
+
+def macd(w: WindowSpec) -> Layers:
+    """``w`` must range over bounded blocks; see :mod:`barlake.functions.ema`.
+
+    The line has no gaps once it has begun, for its averages hold.
+    """
+    line = F.col("macd")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    return [
+        *_faded((12, 26), w),
+        {"macd": _close_ema(12, w) - _close_ema(26, w)},
+        {"_line_gap": F.when(F.count(line).over(before) > 0, F.lit(1))},
+        {"_faded_9": fading(line, F.col("_line_gap"), 9, w)},
+        {"macd_signal": ema(line, F.col("_line_gap"), F.col("_faded_9"), 9, w)},
         {"macd_hist": line - F.col("macd_signal")},
     ]
 
@@ -252,11 +271,11 @@ def forward_returns(bars: DataFrame, series: Series = DAILY) -> DataFrame:
 
 
 def ema_features(bars: DataFrame, series: Series = DAILY) -> DataFrame:
-    return _apply(bars, series.blocked(EMA_BLOCK_ROWS), smooth, back=REACH_EMA)
+    return _apply(bars, series.blocked(EMA_BLOCK_ROWS, "Close"), smooth, back=REACH_EMA)
 
 
 def macd_features(bars: DataFrame, series: Series = DAILY) -> DataFrame:
-    return _apply(bars, series.blocked(EMA_BLOCK_ROWS), macd, back=REACH_MACD)
+    return _apply(bars, series.blocked(EMA_BLOCK_ROWS, "Close"), macd, back=REACH_MACD)
 
 
 def market_features(bars: DataFrame, series: Series = DAILY) -> DataFrame:
@@ -282,7 +301,7 @@ def market_features_wide(bars: DataFrame, series: Series = DAILY) -> DataFrame:
     )
     built = _apply(
         bars,
-        series.blocked(EMA_BLOCK_ROWS),
+        series.blocked(EMA_BLOCK_ROWS, "Close"),
         *groups,
         back=max(REACH_MACD, REACH_DRAWDOWN),
     )

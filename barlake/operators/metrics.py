@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlake.functions.ranks import running_totals
@@ -103,7 +103,7 @@ def roc_curve(scored: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
     points = totals.select(
         *by, F.col(SCORE).alias("threshold"), rate("neg").alias("fpr"), rate("pos").alias("tpr")
     )
-    start = scored.select(*by).distinct().select(
+    start = totals.select(*by).distinct().select(
         *by,
         F.lit(None).cast("double").alias("threshold"),
         F.lit(0.0).alias("fpr"),
@@ -171,11 +171,8 @@ def model_comparison(metrics: DataFrame, choose_by: str = "roc_auc") -> DataFram
     if choose_by not in METRICS:
         raise DataContractError(f"Unknown metric {choose_by!r}")
     require_metrics(metrics)
-    everyone = metrics.agg(F.collect_list(choose_by)).scalar()
-    ahead = F.filter("_all", lambda v: v > F.col(choose_by))
-    return metrics.withColumn("_all", everyone).select(
-        "model", *METRICS, (F.size(ahead) + 1).alias("rank")
-    )
+    best_first = Window.orderBy(F.col(choose_by).desc_nulls_last())
+    return metrics.select("model", *METRICS, F.rank().over(best_first).cast("int").alias("rank"))
 
 
 def require_metrics(metrics: DataFrame) -> None:

@@ -199,10 +199,17 @@ def predict_linear(
     model: LinearModel,
     keep: Sequence[str] = ("symbol", "Date"),
     target: str = TARGET,
+    expected: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Predictions table; infinite features count as 0."""
+    """Predictions table; infinite features count as 0, rows with a missing one have no prediction.
+
+    ``expected`` is the feature order the caller scores by; another one raises.
+    """
+    if expected is not None:
+        check_feature_order(model.features, expected)
     guarded = df.withColumns({f: infinite_to_zero(col(f)) for f in model.features})
-    scored = guarded.withColumn("probability_up", model.probability()).withColumn(
+    up = F.when(scoring_problem(model.features).isNull(), model.probability())
+    scored = guarded.withColumn("probability_up", up).withColumn(
         "predicted_target", (F.col("probability_up") > UP_THRESHOLD).cast("int")
     )
     return _prediction_columns(scored, keep, target)
@@ -239,13 +246,18 @@ def scoring_problem(features: Sequence[str] = tuple(FEATURES)) -> Column:
 
 
 def score(
-    df: DataFrame, model: LinearModel, keys: Sequence[str] = ("symbol", "Date")
+    df: DataFrame,
+    model: LinearModel,
+    keys: Sequence[str] = ("symbol", "Date"),
+    expected: Sequence[str] | None = None,
 ) -> DataFrame:
     """Score rows that hold exactly the trained features besides the keys.
 
     Rows with a missing or non-finite feature keep NULL scores and a ``reject_reason``.
     Works on batch and streaming frames alike.
     """
+    if expected is not None:
+        check_feature_order(model.features, expected)
     require_columns(df, [*keys, *model.features], "The scoring request")
     extra = [c for c in df.columns if c not in (*keys, *model.features)]
     if extra:

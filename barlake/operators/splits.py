@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barlake.functions.ranks import join_nullsafe
 from barlake.functions.scalars import col
 from barlake.functions.series import DAILY, POSITION, Series
 from barlake.schemas import DataContractError
@@ -24,7 +25,7 @@ def _sized(df: DataFrame, series: Series) -> DataFrame:
     if series.block_rows is None:
         return placed.withColumn(_ROWS, F.count("*").over(Window.partitionBy(*series.keys)))
     counts = df.groupBy(*series.keys).agg(F.count("*").alias(_ROWS))
-    return placed.join(counts, list(series.keys))
+    return join_nullsafe(placed, counts, series.keys)
 
 
 def _share(fraction: float) -> Column:
@@ -32,10 +33,14 @@ def _share(fraction: float) -> Column:
 
 
 def check_fractions(train: float, validation: float, test: float) -> None:
-    if not all(0 < f < 1 for f in (train, validation, test)):
-        raise DataContractError("Split fractions must each be between 0 and 1")
-    if not math.isclose(train + validation + test, 1.0, rel_tol=0.0, abs_tol=1e-9):
-        raise DataContractError("Train, validation, and test fractions must sum to 1")
+    """Raise unless the three shares are proper fractions of one whole."""
+    shares = {"train": train, "validation": validation, "test": test}
+    for part, share in shares.items():
+        if not 0.0 < share < 1.0:
+            raise DataContractError(f"The {part} share is {share}; it must lie strictly between 0 and 1")
+    whole = math.fsum(shares.values())
+    if abs(whole - 1.0) > 1e-9:
+        raise DataContractError(f"The shares of train, validation and test sum to {whole}, not to 1")
 
 
 def chrono_split(
@@ -60,7 +65,7 @@ def chrono_split(
 def drift_split(df: DataFrame, reference: float = REFERENCE, series: Series = DAILY) -> DataFrame:
     """Add ``period``: the oldest share is the reference, the rest is current."""
     if not 0 < reference < 1:
-        raise DataContractError("Reference fraction must be between 0 and 1")
+        raise DataContractError(f"The reference share is {reference}; it must lie strictly between 0 and 1")
     label = F.when(F.col(POSITION) < _share(reference), "reference").otherwise("current")
     return _sized(df, series).withColumn("period", label).drop(POSITION, _ROWS)
 
@@ -73,12 +78,22 @@ def split_summary(split: DataFrame, by: str = "split", time: str = "Date") -> Da
     )
 
 
-def require_parts(split: DataFrame, by: str, parts: tuple[str, ...]) -> DataFrame:
-    """Raise if a series lacks rows in one of ``parts``."""
-    counted = split.groupBy("symbol").agg(
+SPLIT_PARTS = ("train", "validation", "test")
+PERIODS = ("reference", "current")
+
+
+def require_parts(
+    split: DataFrame, by: str = "split", parts: tuple[str, ...] = SPLIT_PARTS, keys: tuple[str, ...] = ("symbol",)
+) -> DataFrame:
+    """``split`` itself; raises if a series, or the whole table, lacks rows in one of ``parts``.
+
+    Splits are lazy, so this check is a step of its own: call it before anything is
+    learnt or compared.
+    """
+    counted = split.groupBy(*keys).agg(
         *[F.count_if(F.col(by) == p).alias(f"n{i}") for i, p in enumerate(parts)]
     )
     empty = " OR ".join(f"n{i} = 0" for i in range(len(parts)))
     if split.isEmpty() or not counted.where(empty).isEmpty():
-        raise DataContractError(f"{', '.join(parts)} parts must be non-empty")
+        raise DataContractError(f"Every series needs rows in each of: {', '.join(parts)}")
     return split

@@ -11,6 +11,7 @@ from barlake.plans.queries import (
     CASE_START,
     DEEP_DRAWDOWN,
     EVENT_HOURS,
+    ODD_EVENTS,
     FIXED_MODEL,
     RANGE_END,
     RANGE_START,
@@ -875,3 +876,94 @@ ORACLES: dict[str, str] = {
       FROM ({PREDICTED}) q
       WHERE split = 'test' AND Date BETWEEN DATE '2000-01-01' AND DATE '2000-12-31'""",
 }
+
+
+_FINE = "l_extendedprice * (1 - l_discount) / 7 * CASE WHEN l_linenumber % 3 = 0 THEN -1.0::DOUBLE ELSE 1 END"
+_FINE_TRADE = "row(l_orderkey * 10 + l_linenumber, price)"
+_GAPPY = f"""
+      SELECT * REPLACE (CASE WHEN dayofyear(Date) % 11 IN (0, 3, 4) OR Date < DATE '1992-02-01'
+                             THEN NULL ELSE Close END AS Close) FROM ({LINE_BARS})"""
+
+
+def _recursive_average(x: str, e: str, w: str, span: int) -> tuple[str, str]:
+    """Next value and next weight of an average whose old weight fades while x is missing."""
+    a = f"(2.0::DOUBLE / {span + 1})"
+    value = f"""CASE WHEN {x} IS NULL THEN {e} WHEN {e} IS NULL THEN {x}
+                     ELSE ({w} * (1 - {a}) * {e} + {a} * {x}) / ({w} * (1 - {a}) + {a}) END"""
+    weight = f"CASE WHEN {x} IS NULL THEN {w} * (1 - {a}) ELSE 1::DOUBLE END"
+    return value, weight
+
+
+def _gappy_averages() -> str:
+    """Averages of the gappy closes by recursion, row by row; needs WITH RECURSIVE."""
+    spans = (10, 20, 12, 26)
+    steps = {n: _recursive_average("n.Close", f"e.e{n}", f"e.w{n}", n) for n in spans}
+    first = ", ".join(f"Close AS e{n}, 1::DOUBLE AS w{n}" for n in spans)
+    after = ", ".join(f"{steps[n][0]}, {steps[n][1]}" for n in spans)
+    a = "(2.0::DOUBLE / 10)"
+    line = f"(({steps[12][0]}) - ({steps[26][0]}))"
+    return f"""
+      numbered AS MATERIALIZED (SELECT *, row_number() OVER ({W}) AS rn FROM ({_GAPPY})),
+      smooth AS (
+        SELECT symbol, Date, rn, {first}, Close - Close AS signal FROM numbered WHERE rn = 1
+        UNION ALL
+        SELECT n.symbol, n.Date, n.rn, {after},
+               CASE WHEN e.signal IS NULL THEN {line} ELSE {a} * {line} + (1 - {a}) * e.signal END
+        FROM smooth e JOIN numbered n ON n.symbol = e.symbol AND n.rn = e.rn + 1)"""
+
+
+_NEWEST_FIRST = f"""SELECT coalesce(sum(n - 1), 0) FROM (SELECT count(*) AS n FROM rows_in GROUP BY symbol)"""
+_ODD = ", ".join(f"({i}, TIMESTAMP '{t}')" for i, t in enumerate(ODD_EVENTS))
+_ODD_EVENTS = f"SELECT event_id, 'ALL' AS symbol, event_date FROM (VALUES {_ODD}) AS e(event_id, event_date)"
+_TRAINED = [*FEATURES, "intercept"]
+
+ORACLES |= {
+    "scan_bars_fine": f"""
+      SELECT symbol, Date, arg_min(price, {_FINE_TRADE}) AS Open, max(price) AS High, min(price) AS Low,
+             arg_max(price, {_FINE_TRADE}) AS Close, arg_max(price, {_FINE_TRADE}) AS "Adj Close",
+             CAST(sum(l_quantity) AS BIGINT) AS Volume
+      FROM (SELECT *, l_returnflag AS symbol, CAST(l_shipdate AS DATE) AS Date, {_FINE} AS price FROM lineitem)
+      GROUP BY 1, 2""",
+    "f_ema_gaps": f"""
+      WITH RECURSIVE {_gappy_averages()}
+      SELECT symbol, Date, Close, round(e10, 6) AS ema_10, round(e20, 6) AS ema_20
+      FROM smooth JOIN numbered USING (symbol, Date, rn)""",
+    "f_macd_gaps": f"""
+      WITH RECURSIVE {_gappy_averages()}
+      SELECT symbol, Date, Close, round(e12 - e26, 6) AS macd, round(signal, 6) AS macd_signal
+      FROM smooth JOIN numbered USING (symbol, Date, rn)""",
+    "feature_contract_newest_first": f"""WITH rows_in AS MATERIALIZED ({FEATURE_ROWS}) {contract(
+        [(t, c, _NEWEST_FIRST if t.endswith("be_increasing") else q) for t, c, q in feature_rules()])}""",
+    "contract_report_unjudged": f"""
+      WITH rows_in AS MATERIALIZED ({FEATURE_ROWS}), results AS ({contract(feature_rules())})
+      SELECT 'feature_dataset_contract' AS validation_name, false AS success,
+             count(*) AS total_expectations,
+             count(*) FILTER (success AND expectation_type NOT LIKE '%be_increasing') AS successful_expectations,
+             count(*) FILTER (NOT success AND expectation_type NOT LIKE '%be_increasing') AS failed_expectations,
+             count(*) FILTER (expectation_type LIKE '%be_increasing') AS unevaluated_expectations
+      FROM results""",
+    "pre_event_window_any_time": f"""
+      SELECT s.symbol, s.Date, event_id, round(sentiment_mean, 6) AS sentiment_mean
+      FROM ({SENTIMENT}) s JOIN ({_ODD_EVENTS}) e ON s.symbol = e.symbol
+       AND s.Date >= e.event_date - INTERVAL 10 HOUR AND s.Date < e.event_date""",
+    "outside_event_window_any_time": f"""
+      SELECT symbol, Date, round(sentiment_mean, 6) AS sentiment_mean FROM ({SENTIMENT}) s
+      WHERE NOT EXISTS (SELECT 1 FROM ({_ODD_EVENTS}) e WHERE s.symbol = e.symbol
+            AND s.Date >= e.event_date - INTERVAL 10 HOUR AND s.Date < e.event_date)""",
+    "tick_positions_at_events": f"""
+      SELECT 'view' AS symbol, event_id,
+             (SELECT count(*) FROM events t WHERE t.event_type = 'view' AND t.ts < e.event_date) AS rows_before
+      FROM ({_ODD_EVENTS}) e""",
+    "drift_ks_verdict": f"""
+      WITH scores AS ({ORACLES["drift_ks"]})
+      SELECT feature, p_value < 0.05 AS drift_detected, p_value AS drift_score,
+             'K-S p_value' AS method, CAST(0.05 AS DOUBLE) AS threshold FROM scores""",
+    "train_lr_facts": f"""
+      SELECT feature, true AS stationary,
+             (SELECT count(*) FROM ({SPLIT}) WHERE split = 'train') AS train_rows
+      FROM (VALUES {", ".join(f"('{f}')" for f in _TRAINED)}) AS f(feature)""",
+    "train_rf_facts": f"""
+      SELECT split, count(*) AS rows, CAST(300 AS INTEGER) AS trees, true AS depth_in_bounds,
+             true AS probabilities_in_range, true AS predictions_follow
+      FROM ({SPLIT}) GROUP BY 1""",
+}

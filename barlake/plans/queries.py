@@ -112,11 +112,11 @@ def scan_event_bars(spark, d):
 @query
 def normalize_wide(spark, d):
     """A wide extract (one column per price and symbol) back to long bars."""
-    symbols = ["A", "N", "R"]
+    bars = tables.line_bars(spark, d)
+    symbols = sorted(r["symbol"] for r in bars.select("symbol").distinct().collect())
     prices = [c for c in market.REQUIRED_COLUMNS if c != "Date"]
     wide = (
-        tables.line_bars(spark, d)
-        .groupBy("Date")
+        bars.groupBy("Date")
         .pivot("symbol", symbols)
         .agg(*[F.first(F.col(f"`{p}`")).alias(p) for p in prices])
     )
@@ -790,3 +790,145 @@ def train_rf(spark, d):
     test = split.where(F.col("split") == "test").withColumn("model", F.lit("random_forest"))
     scored = models.predict_forest(test, forest, keep=["model", *KEYS])
     return metrics.evaluate(scored)
+
+
+# --- inputs the plain queries do not have: fine prices, gaps, odd times, wrong order ------
+
+
+def _fine_trades(spark: SparkSession, d: str) -> tuple:
+    """Order lines with prices of many decimals, a third of them negative."""
+    price = F.col("l_extendedprice") * (1 - F.col("l_discount")) / 7
+    sign = F.when(F.col("l_linenumber") % 3 == 0, -1.0).otherwise(1.0)
+    return (
+        tables.table(spark, d, "lineitem"),
+        F.col("l_orderkey") * 10 + F.col("l_linenumber"),
+        price * sign,
+        F.col("l_quantity"),
+        F.col("l_returnflag").alias("symbol"),
+        F.col("l_shipdate").cast("date").alias("Date"),
+    )
+
+
+@query
+def scan_bars_fine(spark, d):
+    """Bars of prices that no fixed number of decimals holds."""
+    return tables.to_bars(*_fine_trades(spark, d))
+
+
+def _gappy_bars(spark: SparkSession, d: str) -> DataFrame:
+    """Daily bars that lack some closes, the first ones among them."""
+    bars = tables.line_bars(spark, d)
+    gone = (F.dayofyear("Date") % 11).isin(0, 3, 4) | (F.col("Date") < "1992-02-01")
+    return bars.withColumn("Close", F.when(~gone, F.col("Close")))
+
+
+@query
+def f_ema_gaps(spark, d):
+    return _close_columns(features.ema_features(_gappy_bars(spark, d)), "ema_10", "ema_20")
+
+
+@query
+def f_macd_gaps(spark, d):
+    return _close_columns(features.macd_features(_gappy_bars(spark, d)), "macd", "macd_signal")
+
+
+@query
+def feature_contract_newest_first(spark, d):
+    """A feature table stored newest first breaks exactly the order rule."""
+    stored = _features(spark, d).withColumn(contracts.ROW_POSITION, -F.unix_date("Date"))
+    return contracts.evaluate(stored, contracts.feature_contract())
+
+
+@query
+def contract_report_unjudged(spark, d):
+    """Without a stored order one feature rule cannot be judged, so the run is no success."""
+    results = contracts.evaluate(_features(spark, d), contracts.feature_contract())
+    return contracts.report(results, contracts.FEATURE_CONTRACT_NAME, "features").select(
+        "validation_name",
+        "success",
+        "total_expectations",
+        "successful_expectations",
+        "failed_expectations",
+        "unevaluated_expectations",
+    )
+
+
+ODD_EVENTS = [f"2024-01-{day:02d} {time}" for day, time in ((5, "12:30:00"), (9, "00:00:01"), (20, "23:59:59"))]
+
+
+def _odd_events(spark: SparkSession) -> DataFrame:
+    return events.event_list(spark, ODD_EVENTS, "ALL", "timestamp_ntz")
+
+
+@query
+def pre_event_window_any_time(spark, d):
+    rows = _sentiment(spark, d).select(*KEYS, "sentiment_mean")
+    return events.pre_event_rows(rows, _odd_events(spark), unit="hour").select(
+        *KEYS, "event_id", "sentiment_mean"
+    )
+
+
+@query
+def outside_event_window_any_time(spark, d):
+    rows = _sentiment(spark, d).select(*KEYS, "sentiment_mean")
+    return events.rows_outside_events(rows, _odd_events(spark), unit="hour")
+
+
+@query
+def tick_positions_at_events(spark, d):
+    """Where events fall in a series of ticks: rows before each one."""
+    ticks = tables.event_ticks(spark, d)
+    marks = events.event_list(spark, ODD_EVENTS, "view", "timestamp_ntz")
+    series = Series(time="Date", tie="event_id", block_rows=500)
+    return events.event_positions(ticks, marks, series).select(
+        "symbol", "event_id", F.col("_at").alias("rows_before")
+    )
+
+
+@query
+def drift_ks_verdict(spark, d):
+    return drift.ks_drift(splits.drift_split(_features(spark, d)))
+
+
+@query
+def train_lr_facts(spark, d):
+    """Whether the slope of the penalised loss vanishes at the fitted weights, by coefficient."""
+    split = splits.require_parts(
+        splits.chrono_split(_features(spark, d).select(*KEYS, *FEATURES, TARGET))
+    )
+    train = split.where(F.col("split") == "train")
+    model = models.train_logistic(train)
+    error = model.probability() - F.col(TARGET)
+    slopes = train.agg(
+        F.count("*").alias("_n"),
+        *[F.avg(error * model.z(f)).alias(f"_g{i}") for i, f in enumerate(model.features)],
+        F.avg(error).alias("_g"),
+    )
+    cells = [
+        F.struct(
+            F.lit(f).alias("feature"),
+            (F.abs(F.col(f"_g{i}") + F.lit(w) / (models.LOGISTIC["c"] * F.col("_n"))) < 1e-5).alias("stationary"),
+        )
+        for i, (f, w) in enumerate(zip(model.features, model.coefficients))
+    ]
+    cells.append(F.struct(F.lit("intercept").alias("feature"), (F.abs("_g") < 1e-5).alias("stationary")))
+    return slopes.select(F.inline(F.array(*cells)), F.col("_n").alias("train_rows"))
+
+
+@query
+def train_rf_facts(spark, d):
+    """Size of the forest, rows of its splits, and its predictions against their probabilities."""
+    split = splits.require_parts(
+        splits.chrono_split(_features(spark, d).select(*KEYS, *FEATURES, TARGET))
+    )
+    forest = models.train_forest(split.where(F.col("split") == "train"))
+    fitted = forest.stages[-1]
+    scored = models.predict_forest(split, forest, keep=["split", *KEYS])
+    up = F.col("probability_up")
+    return scored.groupBy("split").agg(
+        F.count("*").alias("rows"),
+        F.lit(fitted.getNumTrees).cast("int").alias("trees"),
+        F.lit(max(t.depth for t in fitted.trees) <= models.FOREST["max_depth"]).alias("depth_in_bounds"),
+        F.bool_and(up.between(0, 1)).alias("probabilities_in_range"),
+        F.bool_and((up > 0.5).cast("int") == F.col("predicted_target")).alias("predictions_follow"),
+    )

@@ -116,11 +116,12 @@ def normalize_vendor_extract(
         )
         for name, found in sorted(tickers.items())
     ]
-    bars = (
-        df.select(_zone_less_date(df).alias("Date"), F.inline(F.array(*groups)))
-        .where(F.coalesce(*[col(c) for c in PRICE_COLUMNS]).isNotNull())
-        .select("symbol", *[col(c) for c in REQUIRED_COLUMNS])
-    )
+    bars = df.select(_zone_less_date(df).alias("Date"), F.inline(F.array(*groups)))
+    if len(groups) > 1:
+        # A date on which one ticker did not trade is no row of that ticker; with a single
+        # ticker an empty row is a fault that the contract must see.
+        bars = bars.where(F.coalesce(*[col(c) for c in (*PRICE_COLUMNS, "Volume")]).isNotNull())
+    bars = bars.select("symbol", *[col(c) for c in REQUIRED_COLUMNS])
     if check:
         reject_duplicates(bars, ["symbol", "Date"], "The vendor extract")
     return bars

@@ -75,7 +75,7 @@ def merge_latest(
     derives from ``rank = 1`` keeps one row per key and task before the shuffle.
     """
     both = stored.withColumn("_incoming", F.lit(0)).unionByName(
-        new.withColumn("_incoming", F.lit(1))
+        new.withColumn("_incoming", F.lit(1)), allowMissingColumns=True
     )
     newest = Window.partitionBy(*[col(k) for k in keys]).orderBy(
         col(order_col).desc(), F.col("_incoming").desc()
@@ -91,6 +91,28 @@ def _month(date: Column) -> Column:
     return F.date_format(date, "yyyy-MM")
 
 
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path`` with all its columns, or None if nothing is there yet.
+
+    Any other reason why it cannot be read is an error: rewriting months on top
+    of a table that could not be read would lose their rows.
+    """
+    try:
+        found = spark.read.option("mergeSchema", "true").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    fields = [T.StructField(f.name, T.StringType()) if f.name == MONTH else f for f in found.schema.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
+def read_in_stored_order(spark: SparkSession, path: str) -> DataFrame:
+    """A stored Parquet table with ``row_pos``: file, then row in the file."""
+    place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    return spark.read.parquet(path).withColumn("row_pos", place)
+
+
 def upsert_feature_table(
     spark: SparkSession,
     path: str,
@@ -103,15 +125,16 @@ def upsert_feature_table(
     Only the months that ``new`` touches are read (the semi-join prunes the
     stored partitions at run time) and rewritten; the others keep their files.
     A failed job leaves the table as it was, as files are moved on commit only.
+    Stored columns that ``new`` lacks stay in the table, missing in its new rows;
+    new columns are missing in the old rows.
     """
     incoming = new.withColumn(MONTH, _month(F.col("Date")))
-    try:
-        stored = spark.read.schema(incoming.schema).parquet(path)
-    except AnalysisException:  # first upload: nothing stored yet
+    stored = _stored(spark, path)
+    if stored is None:
         merged = merge_latest(incoming.limit(0), incoming, keys, order_col)
     else:
         touched = incoming.select(MONTH).distinct()
-        old = stored.join(touched, MONTH, "left_semi").select(*incoming.columns)
+        old = stored.join(touched, MONTH, "left_semi").select(*stored.columns)
         merged = merge_latest(old, incoming, keys, order_col)
     (
         merged.hint("rebalance", MONTH)  # one file set per month, big months split

@@ -12,12 +12,11 @@ from pyspark.sql import functions as F
 
 from barlake.functions.scalars import constant_key
 
-# First and last price need a (trade number, price) pair as ordering key. A
-# struct or string key would force a sort before the partial aggregation; a
-# 38-digit decimal keeps it a hash aggregation: 19 digits trade number, then
-# 19 digits price in steps of 0.0001.
+# First and last price need a (trade number, price) pair as ordering key. Packed into a
+# 38-digit decimal, the key keeps the aggregation a hash aggregation; a struct, which is
+# exact for every price, makes Spark sort before the partial aggregation.
 _TRADE_STEP = "10000000000000000000BD"
-_PRICE_STEPS = 10_000
+CENTS = 100
 
 FIRST_EVENT_PRICE = 100.0
 
@@ -39,44 +38,84 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _trade_key(trade: Column, price: Column) -> Column:
-    steps = F.rint(price * _PRICE_STEPS).cast("bigint")
-    return trade.cast("decimal(19,0)") * F.expr(_TRADE_STEP) + steps.cast("decimal(19,0)")
+def _packed(trade: Column, price: Column, steps: int) -> Column:
+    return trade.cast("decimal(19,0)") * F.expr(_TRADE_STEP) + F.rint(price * steps).cast(
+        "bigint"
+    ).cast("decimal(19,0)")
 
 
-def _price_of(key: Column) -> Column:
-    return (key % F.expr(_TRADE_STEP)).cast("double") / _PRICE_STEPS
+def _unpacked(key: Column, steps: int) -> Column:
+    return (key % F.expr(_TRADE_STEP)).cast("double") / steps
+
+
+def _checked(value: Column, bad: Column, message: str, kind: str) -> Column:
+    """``value``, or an error at run time where ``bad`` counts rows."""
+    return F.when(bad > 0, F.raise_error(F.lit(message)).cast(kind)).otherwise(value)
 
 
 def to_bars(
-    trades: DataFrame, trade: Column, price: Column, volume: Column, *keys: Column
+    trades: DataFrame,
+    trade: Column,
+    price: Column,
+    volume: Column,
+    *keys: Column,
+    price_steps: int | None = None,
 ) -> DataFrame:
     """Open, High, Low, Close and Volume per key from single trades.
 
     Open and Close are the prices of the lowest and highest (trade, price)
     pair, so equal trade numbers cannot make the result depend on row order.
-    Prices must not be negative and are exact to 4 decimals.
+    Any price is kept exactly. ``price_steps`` is a promise that prices are
+    multiples of 1 / ``price_steps`` and trades and prices not negative; it buys
+    a cheaper aggregation, and a price that breaks it raises. Volume is a whole
+    number: a total that is not one raises.
     """
+    key = (
+        _packed(trade, price, price_steps)
+        if price_steps
+        else F.struct(trade.alias("trade"), price.alias("price"))
+    )
     rows = trades.select(
-        *keys, _trade_key(trade, price).alias("_key"), price.alias("_price"), volume.alias("_volume")
+        *keys,
+        F.when(price.isNotNull(), key).alias("_key"),
+        price.alias("_price"),
+        trade.alias("_trade"),
+        volume.alias("_volume"),
     )
     names = [c for c in rows.columns if not c.startswith("_")]
+    broken = F.lit(0)
+    if price_steps:
+        at = F.col("_price")
+        exact = F.rint(at * price_steps) / price_steps == at
+        broken = F.count_if(~exact | (at < 0) | (F.col("_trade") < 0))
     bars = rows.groupBy(*names).agg(
         F.min("_key").alias("_first"),
         F.max("_key").alias("_last"),
         F.max("_price").alias("High"),
         F.min("_price").alias("Low"),
-        F.sum("_volume").cast("bigint").alias("Volume"),
+        F.sum("_volume").alias("_total"),
+        broken.alias("_broken"),
     )
-    close = _price_of(F.col("_last"))
+
+    def price_of(c: str) -> Column:
+        if not price_steps:
+            return F.col(c)["price"]
+        message = f"A price is negative or no multiple of 1/{price_steps}"
+        return _checked(_unpacked(F.col(c), price_steps), F.col("_broken"), message, "double")
+
+    fraction = (F.col("_total") != F.floor("_total")).cast("int")
+    whole = F.col("_total").cast("bigint")
+    close = price_of("_last")
     return bars.select(
         *names,
-        _price_of(F.col("_first")).alias("Open"),
+        price_of("_first").alias("Open"),
         "High",
         "Low",
         close.alias("Close"),
         close.alias("Adj Close"),
-        "Volume",
+        _checked(whole, F.coalesce(fraction, F.lit(0)), "A total volume is not a whole number", "bigint").alias(
+            "Volume"
+        ),
     )
 
 
@@ -89,6 +128,7 @@ def line_bars(spark: SparkSession, sf_dir: str, symbol: str = "l_returnflag") ->
         F.col("l_quantity"),
         F.col(symbol).cast("string").alias("symbol"),
         F.col("l_shipdate").cast("date").alias("Date"),
+        price_steps=CENTS,
     )
 
 
@@ -101,6 +141,7 @@ def single_series(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity"),
         constant_key("ALL", F.col("l_returnflag")).alias("symbol"),
         F.col("l_shipdate").cast("date").alias("Date"),
+        price_steps=CENTS,
     )
 
 

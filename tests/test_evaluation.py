@@ -126,7 +126,7 @@ def test_published_split_sizes(spark):
 
 def test_split_checks(spark):
     table = ramp_features(spark, 10)
-    with pytest.raises(DataContractError, match="sum to 1"):
+    with pytest.raises(DataContractError, match="sum to 0.9"):
         splits.chrono_split(table, 0.5, 0.2, 0.2)
     with pytest.raises(DataContractError, match="between 0 and 1"):
         splits.chrono_split(table, 1.0, 0.0, 0.0)

@@ -170,3 +170,21 @@ def test_ema_memory_is_below_double_precision():
     for span in (9, 10, 12, 20, 26):
         assert (1 - 2 / (span + 1)) ** memory(span) < 1e-16
     assert BAR_SCHEMA.fieldNames()[0] == "symbol"
+
+
+@pytest.mark.parametrize("missing", [{0, 1, 2}, {5, 6, 40}, set(range(20, 33)), set(range(0, 3000, 3)), set(range(1020, 1030))])
+def test_averages_with_missing_closes_equal_the_recursion(spark, missing):
+    rng = np.random.default_rng(8)
+    closes = 100 + np.cumsum(rng.normal(0, 1, 2600))
+    bars = bars_of(spark, closes.tolist(), start="2000-01-03")
+    dates = [r["Date"] for r in bars.select("Date").orderBy("Date").collect()]
+    gone = [dates[i] for i in missing if i < len(dates)]
+    bars = bars.withColumn("Close", F.when(~F.col("Date").isin(gone), F.col("Close")))
+    got = X.macd_features(X.ema_features(bars)).toPandas().sort_values("Date")
+    x = pd.Series([None if i in missing else c for i, c in enumerate(closes)], dtype=float)
+    for n in (10, 20):
+        want = x.ewm(span=n, adjust=False).mean()
+        np.testing.assert_allclose(got[f"ema_{n}"].to_numpy(float), want, atol=1e-9)
+    line = x.ewm(span=12, adjust=False).mean() - x.ewm(span=26, adjust=False).mean()
+    np.testing.assert_allclose(got["macd"].to_numpy(float), line, atol=1e-9)
+    np.testing.assert_allclose(got["macd_signal"].to_numpy(float), line.ewm(span=9, adjust=False).mean(), atol=1e-9)

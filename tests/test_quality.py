@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from barlake.operators import contracts as C
 from barlake.operators import quality as Q
 from barlake.schemas import FEATURES, REQUIRED_COLUMNS, TARGET, DataContractError
+from barlake.sources.sinks import read_in_stored_order
 
 FIRST = weekdays("2026-01-01", 1)[0]
 
@@ -149,12 +150,35 @@ def test_report_and_enforcement(spark):
     assert row["successful_expectations"] == 16 and row["failed_expectations"] == 3
     assert row["failed_expectation_types"] == [C.BETWEEN, C.PAIR, C.PAIR]
     assert row["failed_expectation_details"][0]["column"] == "Volume"
-    assert len(bad.columns) == 9
+    assert len(bad.columns) == 10 and row["unevaluated_expectations"] == 0
     C.enforce(good)
-    with pytest.raises(DataContractError, match=r"bad: .*between \(column=Volume\)"):
+    with pytest.raises(DataContractError, match=r"(?s)1 of 2 .*bad: .*between on Volume"):
         C.enforce(good, bad)
 
 
+def test_a_rule_that_was_not_judged_is_no_success(spark):
+    results = C.evaluate(valid_features(spark), C.feature_contract())
+    row = C.report(results, "n", "t").first()
+    assert not row["success"] and row["unevaluated_expectations"] == 1
+    assert row["successful_expectations"] == 26 and row["failed_expectations"] == 0
+    assert C.report(results, "n", "t", allow_unevaluated=True).first()["success"]
+    with pytest.raises(DataContractError, match="1 not judged"):
+        C.enforce(C.report(results, "n", "t"))
+
+
+def test_stored_order_comes_from_the_files(spark, tmp_path):
+    rows = valid_features(spark).coalesce(1)
+    for name, order, broken in (("old", F.col("Date"), set()), ("new", F.col("Date").desc(), {(C.INCREASING, "Date")})):
+        path = str(tmp_path / name)
+        rows.sortWithinPartitions(order).write.parquet(path)
+        assert failed(C.evaluate(read_in_stored_order(spark, path), C.feature_contract())) == broken
+
+
+def test_missing_dates_are_not_admitted(spark):
+    with pytest.raises(DataContractError, match="without Date"):
+        C.admit_features(valid_features(spark, {(0, "Date"): None}))
+
+
 def test_violations(spark):
     bars = valid_bars(spark, {(0, "Close"): -1.0, (2, "Date"): FIRST})
     out = C.violations(bars, C.raw_contract()).collect()
