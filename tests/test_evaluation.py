@@ -134,9 +134,9 @@ def test_split_checks(spark):
         splits.drift_split(table, 1.0)
     parts = ("train", "validation", "test")
     splits.require_parts(splits.chrono_split(table), "split", parts)
-    with pytest.raises(DataContractError, match="non-empty"):
+    with pytest.raises(DataContractError, match="needs rows"):
         splits.require_parts(splits.chrono_split(table.limit(2)), "split", parts)
-    with pytest.raises(DataContractError, match="non-empty"):
+    with pytest.raises(DataContractError, match="needs rows"):
         splits.require_parts(splits.chrono_split(table.limit(0)), "split", parts)
 
 
