@@ -297,9 +297,23 @@ def _answer_runs(rows: pd.DataFrame) -> pd.DataFrame:
     owner = np.concatenate([np.frombuffer(b, "<i8") for b in rows["owner"]])
     data = np.frombuffer(b"".join(map(zstandard.decompress, rows["bytes"])), np.uint8)
     amount = np.concatenate(windows)
-    sizes = amount + WINDOW - 1
-    at = _stretches(np.cumsum(sizes) - sizes, amount)
-    later = later_windows(data, at, np.repeat(owner, amount))
+    # Equal runs need their windows sorted once; those of later documents go as a whole.
+    raw, known = data.tobytes(), {}
+    ends = np.cumsum(amount + WINDOW - 1)
+    starts = ends - (amount + WINDOW - 1)
+    same = np.fromiter(
+        (known.setdefault(raw[a:b], len(known)) for a, b in zip(starts.tolist(), ends.tolist())),
+        np.int64,
+        len(amount),
+    )
+    least = np.full(len(known), _LAST)
+    np.minimum.at(least, same, owner)
+    _, once = np.unique(same, return_index=True)
+    verdict = later_windows(
+        data, _stretches(starts[once], amount[once]), np.repeat(least, amount[once])
+    )
+    at = np.cumsum(amount[once]) - amount[once]
+    later = verdict[_stretches(at[same], amount)] | np.repeat(owner > least[same], amount)
     place = _stretches(np.concatenate(first), amount)
     edges = np.cumsum([0] + [int(w.sum()) for w in windows])
     out = []
@@ -361,7 +375,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     (
         slim.mapInPandas(_chunks, schema)
         .write.format("parquet")
-        .option("path", f"{shared_dir(spark)}/barlake-llm/{name}")
+        .option("path", f"{shared_dir(spark)}/barlake/{name}")
         .option("compression", "zstd")
         # Fewer buckets than shuffle partitions would be shuffled after all.
         .bucketBy(max(parts(BUCKET_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions"))), "chunk")
