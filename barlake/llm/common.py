@@ -5,14 +5,14 @@ Missing text counts as empty text everywhere unless an operator says otherwise.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from barlake.functions.scratch import shared_dir, written
+
 #: Rows a rank group aims at, and the fewest groups; the fan-out follows the row count.
 RANK_ROWS = 50_000
 RANK_GROUPS = 1024
@@ -22,30 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from ``spark.checkpoint.dir``.
-
-    A local session without that setting gets a temporary folder of its own; a
-    cluster session without it is refused, for a local folder would not be seen
-    by the other machines.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    if not spark.sparkContext.master.split("[")[0] == "local":
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    own = tempfile.mkdtemp(prefix="barlake-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` below the shared folder and read it back: a short, recoverable lineage."""
-    path = f"{shared_dir(df.sparkSession)}/barlake-llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def text_bytes(text: str = "text") -> Column:
     """UTF-8 bytes of the text; missing text has none."""
     return F.coalesce(F.col(text), F.lit("")).cast("binary")

@@ -74,10 +74,10 @@ class Words:
         self.doc = np.repeat(np.arange(len(raw)), np.diff(self.cut))
 
 
-def _sliced(texts: list[str | None]) -> Iterator[tuple[int, int, Words]]:
+def _sliced(texts: list[str | None], words: int) -> Iterator[tuple[int, int, Words]]:
     raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
     for first, last in slices([len(r) + 1 for r in raw], _SLICE_BYTES):
-        yield first, last, Words(raw[first:last])
+        yield first, last, Words(raw[first:last], words)
 
 
 def neighbour_sums(texts: list[str | None], out: np.ndarray) -> None:
@@ -86,7 +86,7 @@ def neighbour_sums(texts: list[str | None], out: np.ndarray) -> None:
     index = index_vectors(words, dim)
     places = np.argsort(index == 0, axis=1, kind="stable")[:, :NONZERO]
     signs = np.take_along_axis(index, places, axis=1)
-    for _, _, found in _sliced(texts):
+    for _, _, found in _sliced(texts, words):
         for reach in range(1, REACH + 1):
             same = found.doc[:-reach] == found.doc[reach:]
             left, right = found.bucket[:-reach][same], found.bucket[reach:][same]
@@ -130,7 +130,7 @@ def pooled(texts: list[str | None], vectors: np.ndarray) -> np.ndarray:
     words, dim = vectors.shape
     out = np.zeros((len(texts), 2 * dim + _SHARES), np.float32)
     squares = vectors**2
-    for first, last, found in _sliced(texts):
+    for first, last, found in _sliced(texts, words):
         docs = last - first
         for low in range(0, docs, _BLOCK):
             high = min(low + _BLOCK, docs)

@@ -105,4 +105,51 @@ QUERIES = {
     "op9_outliers": op9_outliers,
     "op10_decontaminate": op10_decontaminate,
 }
-ORACLES: dict[str, str] = {}
+_VALUES = ", ".join(f"('{name}', '{statement}')" for name, statement in licenses.TEMPLATES)
+_SPLIT = "list_filter(regexp_split_to_array(lower({}), '[^a-z0-9]+'), lambda t: t <> '')"
+
+#: SQL expresses op8 in full. The others rest on hashes, fitted models or greedy steps that it
+#: lacks, or are too slow in it; tests/llm holds them against brute force.
+ORACLES: dict[str, str] = {
+    "op8_licenses": f"""
+      WITH templates(template, statement) AS (VALUES {_VALUES}),
+      counts AS (
+        SELECT template, token, count(*) AS n
+        FROM (SELECT template, unnest({_SPLIT.format("statement")}) AS token FROM templates) GROUP BY 1, 2),
+      idf AS (SELECT token, ln((1.0 + {len(licenses.TEMPLATES)}) / (1 + count(*))) + 1 AS idf FROM counts GROUP BY 1),
+      weights AS (
+        SELECT token, template, n * idf / sqrt(sum((n * idf) * (n * idf)) OVER (PARTITION BY template)) AS weight
+        FROM counts JOIN idf USING (token)),
+      files AS (
+        SELECT doc_id, coalesce(source, '_') || '/' || coalesce(lang, '_') AS dir, text FROM documents),
+      cut AS (
+        SELECT doc_id, dir, list_filter(list_transform(
+                 string_split(regexp_replace(text, '([.!?])[ \t]+', '\1' || chr(10), 'g'), chr(10)),
+                 lambda s: lower(trim(s))), lambda s: s <> '') AS sentences
+        FROM files WHERE regexp_matches(lower(text), '{licenses.CUES}')),
+      stated AS (
+        SELECT doc_id, dir, len(sentences) AS total, sentence
+        FROM (SELECT *, unnest(sentences) AS sentence FROM cut)
+        WHERE regexp_matches(sentence, '{licenses.CUES}')),
+      vectors AS (
+        SELECT sentence, token, n * coalesce(idf, ln(1.0 + {len(licenses.TEMPLATES)}) + 1) AS w
+        FROM (SELECT sentence, token, count(*) AS n
+              FROM (SELECT sentence, unnest({_SPLIT.format("sentence")}) AS token
+                    FROM (SELECT DISTINCT sentence FROM stated)) GROUP BY 1, 2)
+        LEFT JOIN idf USING (token)),
+      cosines AS (
+        SELECT sentence, template, round(sum(w * weight) / any_value(norm), 6) AS cosine
+        FROM vectors JOIN (SELECT sentence, sqrt(sum(w * w)) AS norm FROM vectors GROUP BY 1) USING (sentence)
+        JOIN weights USING (token) GROUP BY 1, 2),
+      best AS (
+        SELECT * FROM cosines QUALIFY row_number() OVER (PARTITION BY sentence ORDER BY cosine DESC, template) = 1),
+      own AS (
+        SELECT doc_id, dir, arg_min(template, row(-cosine, template)) AS license, max(cosine) AS cosine,
+               count(*) >= any_value(total) AS whole
+        FROM stated JOIN (FROM best WHERE cosine >= {licenses.LIKE}) USING (sentence) GROUP BY 1, 2),
+      holders AS (
+        SELECT dir, arg_min(license, row(-cosine, license)) AS license FROM own WHERE whole GROUP BY 1)
+      SELECT f.doc_id, f.dir || '/' || f.doc_id AS path, coalesce(o.license, h.license) AS license, o.cosine,
+             CASE WHEN o.doc_id IS NOT NULL THEN 'own' WHEN h.dir IS NOT NULL THEN 'inherited' END AS origin
+      FROM files f LEFT JOIN own o ON o.doc_id = f.doc_id LEFT JOIN holders h ON h.dir = f.dir"""
+}
