@@ -123,6 +123,12 @@ def clean_bars(df: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
 
 
 def load_clean(df: DataFrame) -> DataFrame:
-    """Clean, then validate: the eager form used at the start of a run."""
+    """Validate, clean, validate: the eager form used at the start of a run.
+
+    Text is judged before it is cast, so that a bad date is reported as one and
+    not as a failed cast; the second pass sees what casting made missing.
+    """
+    if any(_is_text(df, c) for c in REQUIRED_COLUMNS if c in df.columns):
+        df = validate_raw_market_data(df)
     return validate_raw_market_data(clean_bars(df))
 

@@ -45,7 +45,7 @@ def checked_overlay(bars: DataFrame, predictions: DataFrame) -> DataFrame:
     unmatched = joined.where(F.col("Close").isNull()).orderBy(*KEYS).limit(5).collect()
     if unmatched:
         dates = [str(row["Date"]) for row in unmatched]
-        raise DataContractError(f"Could not align predictions with closes for dates: {dates}")
+        raise DataContractError(f"No bar, so no close, for the predictions of {dates}")
     invalid = joined.where(~F.col("predicted_target").isin(0, 1)).limit(1).collect()
     if invalid:
         raise DataContractError("predicted_target must contain only 0 or 1")

@@ -56,7 +56,7 @@ def feature_columns(available: list[str], use_news: bool = True) -> tuple[str, l
     market = [c for c in BASELINE_FEATURES if c in available]
     news = [c for c in NEWS_FEATURES if c in available] if use_news else []
     if not market and not news:
-        raise DataContractError("No valid features found")
+        raise DataContractError("The table has none of the market or news features")
     return ("HYBRID" if news else "BASELINE"), market + news
 
 

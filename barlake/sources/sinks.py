@@ -39,6 +39,8 @@ DATASETS = {
     "raw_bars": Dataset("csv", "01_raw/bars", BAR_SCHEMA),
     "clean_bars": Dataset("parquet", "02_intermediate/clean_bars", BAR_SCHEMA),
     "features": Dataset("parquet", "04_feature/features", FEATURE_SCHEMA),
+    "hybrid_dataset": Dataset("parquet", "05_model_input/hybrid", None, ("symbol",)),
+    "baseline_dataset": Dataset("parquet", "05_model_input/baseline", None, ("symbol",)),
     "predictions": Dataset("parquet", "07_model_output/predictions", PREDICTION_SCHEMA),
     "run_log": Dataset("parquet", "08_reporting/run_log", RUN_LOG_SCHEMA, ("run_id",)),
     "raw_contract_report": Dataset("json", "08_reporting/raw_contract"),

@@ -90,7 +90,7 @@ def test_overlay(spark):
     out = pandas_of(reports.checked_overlay(bars, scored(spark)))
     assert out["Close"].tolist() == [100, 101, 99, 102, 103, 101.5]
     late = scored(spark).withColumn("Date", F.date_add("Date", 1500))
-    with pytest.raises(DataContractError, match="Could not align.*2030"):
+    with pytest.raises(DataContractError, match="no close.*2030"):
         reports.checked_overlay(bars, late)
     with pytest.raises(DataContractError, match="duplicate dates"):
         reports.checked_overlay(bars, scored(spark).unionByName(scored(spark)))

@@ -164,7 +164,7 @@ def test_hybrid_dataset_drops_the_last_five_rows(spark):
     plain = S.labelled_dataset(wide, use_news=False)
     assert S.dataset_metadata(plain, use_news=False).first()["mode"] == "BASELINE"
     assert S.feature_columns(wide.columns)[0] == "BASELINE"
-    with pytest.raises(DataContractError, match="No valid features"):
+    with pytest.raises(DataContractError, match="none of the market"):
         S.feature_columns(["Date"])
 
 
@@ -220,3 +220,17 @@ def test_anomaly_windows(series):
     anomaly = mean - mean.rolling(30, min_periods=1).mean()
     np.testing.assert_allclose(partial["sentiment_anomaly"], anomaly, atol=1e-12)
     assert not partial["anomaly_trend"].isna().any()
+
+
+def test_windows_of_events_at_any_time(spark):
+    """The window of an event at 10:30 holds the hours from 00:30 up to it."""
+    hours = spark.range(14).select(
+        F.lit("ALL").alias("symbol"),
+        F.expr("timestampadd(HOUR, CAST(id AS INT), TIMESTAMP_NTZ '2024-01-05 00:00:00')").alias("Date"),
+    )
+    for time, first, last in (("10:30:00", 1, 10), ("10:00:00", 0, 9), ("10:00:01", 1, 10)):
+        marks = E.event_list(spark, [f"2024-01-05 {time}"], "ALL", "timestamp_ntz")
+        inside = sorted(r["Date"].hour for r in E.pre_event_rows(hours, marks, unit="hour").collect())
+        assert inside == list(range(first, last + 1))
+        outside = E.rows_outside_events(hours, marks, unit="hour").count()
+        assert outside == 14 - len(inside)

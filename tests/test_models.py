@@ -176,3 +176,19 @@ def test_streaming_scores_equal_batch_scores(spark, fitted, tmp_path):
     got = pandas_of(spark.read.parquet(sink))
     np.testing.assert_allclose(got["probability_up"], expected["probability_up"])
     assert checkpoint_location(batch, "x").endswith("/x")
+
+
+def test_rows_with_a_missing_feature_have_no_prediction(spark, fitted):
+    rows = [list(training_rows(1)[0]) for _ in range(4)]
+    at = 2 + FEATURES.index("rsi_14")
+    for row, value in zip(rows, (float("nan"), None, float("inf"), 50.0)):
+        row[at] = value
+    df = spark.createDataFrame([r[:-1] for r in rows], SCHEMA).withColumn(TARGET, F.lit(1))
+    got = [r["predicted_target"] for r in models.predict_linear(df, fitted, keep=["rsi_14"]).collect()]
+    assert got[:2] == [None, None] and None not in got[2:]
+
+
+def test_another_feature_order_is_refused(spark, fitted, train):
+    models.predict_linear(train, fitted, expected=FEATURES)
+    with pytest.raises(DataContractError, match="order"):
+        models.predict_linear(train, fitted, expected=FEATURES[::-1])

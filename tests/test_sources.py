@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.errors import PySparkException
 from conftest import pandas_of, valid_bars, valid_features
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -137,3 +138,53 @@ def test_datasets_round_trip(spark, tmp_path):
     assert back.count() == 4 and set(back.columns) == set(RUN_LOG_SCHEMA.fieldNames())
     sinks.write_dataset(log.limit(1), root, "metrics")
     assert sinks.read_dataset(spark, root, "metrics").count() == 1
+
+
+@pytest.mark.parametrize("price", [1.23456789, 0.000012, -37.63, 1e-300, 1.7e308])
+def test_bars_keep_any_price(spark, price):
+    trades = spark.createDataFrame([(1, price, 1.0), (2, price / 3, 1.0)], "trade bigint, price double, size double")
+    columns = F.col("trade"), F.col("price"), F.col("size"), F.lit("T").alias("symbol")
+    out = tables.to_bars(trades, *columns).first()
+    assert (out["Open"], out["Close"]) == (price, price / 3)
+    with pytest.raises(PySparkException, match="negative or no multiple|OVERFLOW"):
+        tables.to_bars(trades, *columns, price_steps=100).collect()
+
+
+def test_a_fractional_total_volume_is_refused(spark):
+    trades = spark.createDataFrame([(1, 1.0, 0.4), (2, 1.0, 0.4)], "trade bigint, price double, size double")
+    bars = tables.to_bars(trades, F.col("trade"), F.col("price"), F.col("size"), F.lit("T").alias("symbol"))
+    with pytest.raises(PySparkException, match="whole number"):
+        bars.collect()
+
+
+def test_upsert_keeps_stored_columns_and_takes_new_ones(spark, tmp_path):
+    path = str(tmp_path / "features")
+    table = valid_features(spark).withColumn("version", F.lit(1))
+    sinks.upsert_feature_table(spark, path, table.withColumn("note", F.lit("kept")))
+    newer = table.limit(1).withColumn("version", F.lit(2)).withColumn("extra", F.lit(5))
+    sinks.upsert_feature_table(spark, path, newer)
+    stored = spark.read.parquet(path)
+    assert stored.where("note = 'kept'").count() == 4 and stored.where("extra = 5 AND note IS NULL").count() == 1
+    assert stored.count() == 5
+
+
+def test_upsert_over_something_unreadable_is_an_error(spark, tmp_path):
+    folder = tmp_path / "features"
+    folder.mkdir()
+    (folder / "part-0.parquet").write_text("no table")
+    with pytest.raises(Exception):
+        sinks.upsert_feature_table(spark, str(folder), valid_features(spark).withColumn("version", F.lit(1)))
+    assert (folder / "part-0.parquet").read_text() == "no table"
+
+
+def test_a_date_without_prices_reaches_the_contract(spark):
+    rows = [("2026-01-05", None, None, None, None, None, 5), ("2026-01-02", *OLD)]
+    schema = "Date string, " + ", ".join(f"`{f}` double" for f in FIELDS[:-1]) + ", Volume bigint"
+    one = spark.createDataFrame([(d, *map(lambda v: None if v is None else float(v), r[:-1]), int(r[-1])) for d, *r in rows], schema)
+    assert market.normalize_vendor_extract(one, "X").count() == 2
+
+
+def test_final_datasets_have_a_place(spark, tmp_path):
+    for name in ("hybrid_dataset", "baseline_dataset"):
+        sinks.write_dataset(valid_features(spark), str(tmp_path), name)
+        assert sinks.read_dataset(spark, str(tmp_path), name).where("symbol = 'T'").count() == 5
