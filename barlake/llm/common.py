@@ -11,8 +11,6 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barlake.functions.scratch import shared_dir, written
-
 #: Rows a rank group aims at, and the fewest groups; the fan-out follows the row count.
 RANK_ROWS = 50_000
 RANK_GROUPS = 1024

@@ -212,32 +212,36 @@ def find_leaks(
     empty and short texts have no pairs; repeated rows are reported once each; an
     empty table on either side gives no rows. Other columns are not read.
     """
-    schema = "doc_id long, item_id long, covered_words long, item_words long"
     spark = docs.sparkSession
     out: DataFrame | None = None
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     for block in blocks_of(benchmark, least, block_words):
         sent = spark.sparkContext.broadcast(block)
-
-        def pairs(frames: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
-            for frame in frames:
-                rows = [
-                    (doc_id, *pair)
-                    for doc_id, found in zip(frame["doc_id"].astype("Int64"), matches_of(frame["text"].tolist(), sent.value))
-                    for pair in found
-                    if pair[1] >= coverage * pair[2]
-                ]
-                yield pd.DataFrame(rows, columns=["doc_id", "item_id", "covered_words", "item_words"]).astype(
-                    {"doc_id": "Int64", "item_id": "Int64"}
-                )
-
-        part = slim.mapInPandas(pairs, schema)
+        pairs = F.pandas_udf(_pairs_by(sent, coverage), _PAIRS)("text")
+        part = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.inline(pairs))
         out = part if out is None else out.unionByName(part)
     if out is None:
-        out = spark.createDataFrame([], schema)
+        out = spark.createDataFrame([], "doc_id long, item_id long, covered_words long, item_words long")
     return out.withColumn("coverage", F.col("covered_words") / F.col("item_words"))
 
 
+_PAIRS = "array<struct<item_id: bigint, covered_words: bigint, item_words: bigint>>"
+
+
+def _pairs_by(sent: Broadcast, coverage: float) -> Callable[[pd.Series], pd.Series]:
+    def pairs(texts: pd.Series) -> pd.Series:
+        out = [
+            [
+                {"item_id": item, "covered_words": covered, "item_words": words}
+                for item, covered, words in found
+                if covered >= coverage * words
+            ]
+            for found in matches_of(texts.tolist(), sent.value)
+        ]
+        return pd.Series(out, dtype=object)
+
+    return pairs
+
+
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, least: int = MATCH_WORDS, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` without the rows that :func:`find_leaks` reports, one pass a block, no shuffle."""
     kept = docs

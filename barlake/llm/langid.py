@@ -9,11 +9,11 @@ as close the text is flagged as ambiguous.
 
 from __future__ import annotations
 
-import regex
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 

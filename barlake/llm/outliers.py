@@ -17,7 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barlake.llm.common import SPACE, gram_hashes, slices, span_hashes, word_spans, written
+from barlake.functions.scratch import written
+from barlake.llm.common import SPACE, gram_hashes, slices, span_hashes, word_spans
 
 #: Share of the rows a concentration step keeps, and the factor that makes its scatter
 #: that of a normal distribution of ``len(FLOORS)`` dimensions: 0.75 / P(chi2(7) <= 6.63).

@@ -27,7 +27,8 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barlake.llm.common import row_numbers, written
+from barlake.functions.scratch import written
+from barlake.llm.common import row_numbers
 
 SEQUENCE = 4096
 #: Tokens a length class spans; 4096 / 8 = 512 classes.
@@ -146,6 +147,9 @@ def encoder_of(path: str, end_id: int) -> Encoder:
     return Encoder(path, end_id)
 
 
+_PIECES = "array<struct<start: bigint, length: bigint, ids_crc32: bigint, doc_tokens: bigint>>"
+
+
 def cut_pieces(docs: DataFrame, path: str, sequence: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
     """Pieces of every document: whole sequences from its front, then the remainder.
 
@@ -154,26 +158,23 @@ def cut_pieces(docs: DataFrame, path: str, sequence: int = SEQUENCE, end_id: int
     by a hash of the text. One pass, no shuffle.
     """
 
-    def pieces(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = encoder_of(path, end_id)
-        for frame in frames:
-            rows = []
-            for doc_id, key, ids in zip(frame["doc_id"], frame["doc_key"], encoder.encode(frame["text"].tolist())):
-                tokens = len(ids) // 4
-                for start in range(0, tokens, sequence):
-                    part = ids[4 * start : 4 * (start + sequence)]
-                    rows.append((doc_id, key, start, len(part) // 4, zlib.crc32(part), tokens))
-            yield pd.DataFrame(rows, columns=["doc_id", "doc_key", "start", "length", "ids_crc32", "doc_tokens"]).astype(
-                {"doc_id": "Int64"}
+    def pieces(texts: pd.Series) -> pd.Series:
+        out = []
+        for ids in encoder_of(path, end_id).encode(texts.tolist()):
+            tokens = len(ids) // 4
+            cuts = [(at, ids[4 * at : 4 * (at + sequence)]) for at in range(0, tokens, sequence)]
+            out.append(
+                [
+                    {"start": at, "length": len(x) // 4, "ids_crc32": zlib.crc32(x), "doc_tokens": tokens}
+                    for at, x in cuts
+                ]
             )
+        return pd.Series(out, dtype=object)
 
-    slim = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("doc_key"), "text"
-    )
-    typed = slim.select(F.col("doc_id"), "doc_key", "text")
-    return typed.mapInPandas(
-        lambda frames: pieces(f.astype({"doc_id": "Int64"}) for f in frames),
-        "doc_id long, doc_key long, start long, length long, ids_crc32 long, doc_tokens long",
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64("text").alias("doc_key"),
+        F.inline(F.pandas_udf(pieces, _PIECES)("text")),
     )
 
 
@@ -352,17 +353,15 @@ def sequences(docs: DataFrame, packed: DataFrame, tokenizer: str | None = None,
     """
     path = tokenizer or tokenizer_path()
 
-    def tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = encoder_of(path, end_id)
-        for frame in frames:
-            ids = [np.frombuffer(x, "<u4").astype("int32") for x in encoder.encode(frame["text"].tolist())]
-            yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "doc_key": frame["doc_key"], "ids": ids})
+    def tokens(texts: pd.Series) -> pd.Series:
+        found = encoder_of(path, end_id).encode(texts.tolist())
+        return pd.Series([np.frombuffer(x, "<u4").astype("int32") for x in found], dtype=object)
 
-    encoded = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("doc_key"), "text")
-        .mapInPandas(tokens, "doc_id long, doc_key long, ids array<int>")
-        .dropDuplicates(["doc_id", "doc_key"])
-    )
+    encoded = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64("text").alias("doc_key"),
+        F.pandas_udf(tokens, "array<int>")("text").alias("ids"),
+    ).dropDuplicates(["doc_id", "doc_key"])
     e, p = encoded.alias("e"), packed.alias("p")
     met = p.join(e, F.col("p.doc_id").eqNullSafe(F.col("e.doc_id")) & (F.col("p.doc_key") == F.col("e.doc_key")))
     part = met.select(

@@ -35,14 +35,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlake.llm.common import (
-    BASE,
-    INVERSE,
-    mix,
-    powers,
-    shared_dir,
-    span_hashes,
-)
+from barlake.functions.scratch import shared_dir
+from barlake.llm.common import BASE, INVERSE, mix, powers, span_hashes
 
 WINDOW, GRAM = 50, 24
 #: Bytes of text in a chunk (or one document), and behind a part of the digits and of the runs.
