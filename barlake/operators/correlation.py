@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
-from pyspark.sql import DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from barlake.functions.scalars import col
@@ -32,14 +32,20 @@ def _to_rows(wide: DataFrame, keep: Sequence[str], cells: list[tuple[str, str]])
     return wide.select(*keep, F.expr(f"inline(array({rows}))"))
 
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def correlation_matrix(
+    df: DataFrame, columns: Sequence[str], complete: bool = False
+) -> DataFrame:
     """Every ordered pair of ``columns`` with its correlation.
 
     All pairs are aggregates of one pass; nothing is multiplied or shuffled
-    but one partial row per task.
+    but one partial row per task. ``complete`` tells that no value is missing: then
+    one variance a column and one covariance a pair are enough.
     """
     pairs = list(combinations_with_replacement(columns, 2))
-    wide = df.agg(*[F.expr(pearson(a, b)).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
+    if complete:
+        wide = _complete_correlations(df, columns, pairs)
+    else:
+        wide = df.agg(*[F.expr(pearson(a, b)).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
     cells = []
     for i, (a, b) in enumerate(pairs):
         for first, second in {(a, b), (b, a)}:
@@ -47,6 +53,23 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _to_rows(wide, [], cells)
 
 
+def _complete_correlations(
+    df: DataFrame, columns: Sequence[str], pairs: list[tuple[str, str]]
+) -> DataFrame:
+    spread = {c: f"_var_{i}" for i, c in enumerate(columns)}
+    moments = [F.var_pop(col(c)).alias(name) for c, name in spread.items()]
+    moments += [
+        F.covar_pop(col(a), col(b)).alias(f"_cov_{i}") for i, (a, b) in enumerate(pairs) if a != b
+    ]
+    both = df.agg(*moments)
+
+    def share(i: int, a: str, b: str) -> Column:
+        top = F.col(f"_cov_{i}") if a != b else F.col(spread[a])
+        return F.try_divide(top, F.sqrt(F.col(spread[a]) * F.col(spread[b])))
+
+    return both.select(*[share(i, a, b).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
+
+
 def target_correlation(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     """Correlation of every column but the target itself with the target."""
     others = [c for c in columns if c != target]

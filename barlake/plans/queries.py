@@ -508,7 +508,7 @@ def crash_zoom(spark, d):
 
 @query
 def feature_correlation(spark, d):
-    return correlation.correlation_matrix(_features(spark, d), FEATURES)
+    return correlation.correlation_matrix(_features(spark, d), FEATURES, complete=True)
 
 
 @query
