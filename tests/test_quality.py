@@ -174,6 +174,15 @@ def test_stored_order_comes_from_the_files(spark, tmp_path):
         assert failed(C.evaluate(read_in_stored_order(spark, path), C.feature_contract())) == broken
 
 
+def test_stored_order_across_files(spark, tmp_path):
+    rows = valid_features(spark).orderBy("Date").collect()
+    for name, halves, broken in (("up", (rows[:2], rows[2:]), set()), ("down", (rows[2:], rows[:2]), {(C.INCREASING, "Date")})):
+        for i, part in enumerate(halves):
+            spark.createDataFrame(part, valid_features(spark).schema).coalesce(1).write.parquet(str(tmp_path / name / f"f={i}"))
+        stored = read_in_stored_order(spark, str(tmp_path / name)).drop("f")
+        assert failed(C.evaluate(stored, C.feature_contract())) == broken
+
+
 def test_missing_dates_are_not_admitted(spark):
     with pytest.raises(DataContractError, match="without Date"):
         C.admit_features(valid_features(spark, {(0, "Date"): None}))
