@@ -108,9 +108,27 @@ QUERIES = {
 _VALUES = ", ".join(f"('{name}', '{statement}')" for name, statement in licenses.TEMPLATES)
 _SPLIT = "list_filter(regexp_split_to_array(lower({}), '[^a-z0-9]+'), lambda t: t <> '')"
 
-#: SQL expresses op8 in full. The others rest on hashes, fitted models or greedy steps that it
-#: lacks, or are too slow in it; tests/llm holds them against brute force.
+#: SQL expresses op3 and op8 in full. The others rest on hashes, fitted models or greedy steps
+#: that it lacks; tests/llm holds them against brute force.
 ORACLES: dict[str, str] = {
+    "op3_suffix_dedup": """
+      WITH docs AS (
+        SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+      windows AS (SELECT doc_id, p, array_slice(b, p + 1, p + 50) AS w FROM (SELECT *, unnest(range(0, n - 49)) AS p FROM docs)),
+      firsts AS (SELECT w, min(doc_id) AS least FROM windows GROUP BY 1),
+      hits AS (SELECT doc_id, p FROM windows JOIN firsts USING (w) WHERE least < doc_id),
+      starts AS (SELECT doc_id, p, p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS gap FROM hits),
+      runs AS (SELECT doc_id, p, sum(CASE WHEN gap <= 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM starts),
+      spans AS (SELECT doc_id, run, min(p) AS a, max(p) + 50 AS z FROM runs GROUP BY 1, 2),
+      sums AS (SELECT doc_id, sum(z - a) AS removed, count(*) AS spans FROM spans GROUP BY 1),
+      pieces AS (
+        SELECT doc_id, a AS pos, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS f, a AS t FROM spans
+        UNION ALL SELECT doc_id, n AS pos, coalesce(z, 0) AS f, n AS t FROM docs LEFT JOIN (SELECT doc_id, max(z) AS z FROM spans GROUP BY 1) USING (doc_id)),
+      kept AS (
+        SELECT doc_id, string_agg(hex(array_slice(b, f + 1, t)), '' ORDER BY pos) AS h FROM pieces JOIN docs USING (doc_id) GROUP BY 1)
+      SELECT doc_id, n AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+             sha256(unhex(coalesce(h, ''))) AS kept_sha256
+      FROM docs LEFT JOIN sums USING (doc_id) LEFT JOIN kept USING (doc_id)""",
     "op8_licenses": f"""
       WITH templates(template, statement) AS (VALUES {_VALUES}),
       counts AS (
