@@ -108,9 +108,45 @@ QUERIES = {
 _VALUES = ", ".join(f"('{name}', '{statement}')" for name, statement in licenses.TEMPLATES)
 _SPLIT = "list_filter(regexp_split_to_array(lower({}), '[^a-z0-9]+'), lambda t: t <> '')"
 
-#: SQL expresses op3 and op8 in full. The others rest on hashes, fitted models or greedy steps
+def _network_rounds() -> str:
+    """The rounds of the permutation as nested selects over ``walk`` (l, r: the halves)."""
+    prime, inner = sharding.PRIME, "SELECT w.*, x >> low AS l, x & ((1 << low) - 1) AS r FROM walk w WHERE x >= n OR NOT moved"
+    for i, (multiplier, addend) in enumerate(sharding.Permutation(1).round_keys()):
+        h = f"((r * {multiplier} + {addend}) % {prime})"
+        mixed = f"((((xor({h}, {h} >> 15) % {prime}) * 69621 + {addend}) % {prime}) >> 3)"
+        width = "wide" if i % 2 == 0 else "low"
+        inner = f"SELECT * REPLACE (r AS l, xor(l, {mixed}) & ((1 << {width}) - 1) AS r) FROM ({inner})"
+    return inner
+
+
+#: SQL expresses op1, op3 and op8 in full. The others rest on hashes, fitted models or greedy steps
 #: that it lacks; tests/llm holds them against brute force.
 ORACLES: dict[str, str] = {
+    "op1_sharding": f"""
+      WITH RECURSIVE bits AS (
+        SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END,
+                              CAST(i AS BIGINT)) AS v
+        FROM range(256) AS t(i)),
+      crc_table AS (SELECT list(v ORDER BY i) AS crc FROM bits),
+      raw AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+      sums AS (
+        SELECT doc_id, CAST(octet_length(b) + 8 AS BIGINT) AS size,
+               xor(list_reduce(list_transform(range(1, octet_length(b) + 1),
+                                              lambda k: CAST('0x' || hex(array_slice(b, k, k)) AS BIGINT)),
+                               lambda c, x: xor(c >> 8, crc[(xor(c, x) & 255) + 1]), CAST(4294967295 AS BIGINT)),
+                   4294967295) AS text_crc32
+        FROM raw, crc_table),
+      numbered AS (
+        SELECT doc_id, CAST(row_number() OVER (ORDER BY doc_id) - 1 AS BIGINT) AS x, count(*) OVER () AS n FROM documents),
+      sized AS (SELECT *, greatest(2, length(bin(n - 1))) AS width FROM numbered),
+      walk AS (
+        SELECT doc_id, x, n, CAST(width // 2 AS INTEGER) AS low, CAST(width - width // 2 AS INTEGER) AS wide, false AS moved
+        FROM sized
+        UNION ALL
+        SELECT doc_id, (l << low) | r AS x, n, low, wide, true AS moved FROM ({_network_rounds()}))
+      SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(x % {SHARDS} AS INTEGER) AS shard, x // {SHARDS} AS slot,
+             CAST(NULL AS INTEGER) AS grown_shard
+      FROM walk JOIN sums USING (doc_id) WHERE moved AND x < n""",
     "op3_suffix_dedup": """
       WITH docs AS (
         SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents),

@@ -17,7 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlake.llm.common import row_numbers, text_bytes
+from barlake.functions.ranks import index_rows
+from barlake.llm.common import text_bytes
 
 ROUNDS = 6
 #: Round function modulus (2**31 - 1): products stay below 2**62.
@@ -64,7 +65,7 @@ class Permutation:
         left, right = x >> low, x & ((1 << low) - 1)
         widths = low
         for multiplier, addend in reversed(keys):
-            left, right = (right ^ self._mixed(left, multiplier, addend)) & ((1 << (self.bits - widths)) - 1), left
+            left, right = (right ^ self._mixed(left, multiplier, addend)) & ((1 << widths) - 1), left
             widths = self.bits - widths
         return (left << low) | right
 
@@ -97,10 +98,10 @@ def assign_shards(docs: DataFrame, shards: int, key: int = 42) -> DataFrame:
     """doc_id, size, text_crc32, row_number, shard, slot for every row of ``docs``.
 
     ``size`` is the UTF-8 bytes of the text (missing: none) plus 8. Row numbers
-    follow (doc_id, text) inside hashed parts; they depend on the rows alone, not
-    on files or partitions. Missing doc_ids sort first. Rows equal in doc_id and
-    text are interchangeable and still get a slot each. An empty table gives no
-    rows. Other columns of ``docs`` are not read.
+    follow doc_id, then a hash of the text; they depend on the rows alone, not on
+    files or partitions. Missing doc_ids come first. Rows equal in doc_id and text
+    are interchangeable and still get a slot each. An empty table gives no rows.
+    Other columns of ``docs`` are not read.
     """
     if shards < 1:
         raise ValueError("at least one shard is needed")
@@ -118,8 +119,7 @@ def assign_shards(docs: DataFrame, shards: int, key: int = 42) -> DataFrame:
     def place(numbers: pd.Series) -> pd.Series:
         return pd.Series(permutation.apply(numbers.to_numpy()))
 
-    order = [F.col("doc_id"), F.col("__text"), F.col("size"), F.col("text_crc32")]
-    numbered = row_numbers(slim, [], order, rows, "row_number")
+    numbered = index_rows(slim, [], "doc_id", "__text", "row_number")
     placed = numbered.withColumn("__place", place("row_number"))
     return placed.select(
         "doc_id",
