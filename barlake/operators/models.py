@@ -208,7 +208,8 @@ def predict_linear(
     if expected is not None:
         check_feature_order(model.features, expected)
     guarded = df.withColumns({f: infinite_to_zero(col(f)) for f in model.features})
-    up = F.when(scoring_problem(model.features).isNull(), model.probability())
+    # A NULL feature makes the probability NULL, a NaN makes it NaN.
+    up = F.nanvl(model.probability(), F.lit(None).cast("double"))
     scored = guarded.withColumn("probability_up", up).withColumn(
         "predicted_target", (F.col("probability_up") > UP_THRESHOLD).cast("int")
     )
