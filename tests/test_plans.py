@@ -35,7 +35,7 @@ def test_scan_reads_only_needed_columns(spark):
     plan = plan_of(QUERIES["market_features"](spark, SF_DIR))
     read = re.search(r"ReadSchema: struct<([^>]*)", plan).group(1)
     assert "l_tax" not in read and "l_partkey" not in read
-    scored = plan_of(QUERIES["roc_auc"](spark, SF_DIR))
+    scored = plan_of(tables.scored_documents(spark, SF_DIR))
     assert "text" not in re.search(r"FileScan parquet \[([^\]]*n_chars[^\]]*)\]", scored).group(1)
 
 
