@@ -26,7 +26,8 @@ def brute_components(rows):
 
     for i in range(len(rows)):
         for j in range(i):
-            if bin(rows[i][1] ^ rows[j][1]).count("1") <= 3:
+            # Signed prints: only the low 64 bits count.
+            if bin((rows[i][1] ^ rows[j][1]) & simhash._ALL).count("1") <= 3:
                 parent[find(i)] = find(j)
     least = {}
     for i, (doc, _) in enumerate(rows):
