@@ -30,8 +30,8 @@ LEAST_ROWS = 200
 #: symbols, repeated lines, repeated words and capitals): statistics that are nearly
 #: constant in a group must not make every deviation an outlier.
 FLOORS = (0.10, 0.06, 0.15, 0.12, 0.08)
-#: Squared distance from which a row is an outlier: chi-square of 5 degrees, 1 in 10**7.
-CUT = 41.0
+#: Squared distance from which a row is an outlier: the 0.999 quantile of chi-square of 5 degrees.
+CUT = 20.515
 LEAST_WORDS, MOST_REPEATED = 50, 50
 _BINS = 256
 _SLICE_BYTES = 1 << 20

@@ -71,3 +71,13 @@ def test_odd_tables(clashing, empty):
     assert any(r[0] is None and not r[2] for r in rows)
     assert outliers.judge(clashing).count() == len(awkward_rows())
     assert outliers.judge(empty).count() == 0
+
+
+def test_words_parted_by_bars_go(spark):
+    """Symbol junk that lies beyond the 0.999 quantile, but within 41."""
+    rows = [(i, prose(i, 100 + i % 50), "en", "a") for i in range(400)]
+    rows += [(2000 + i, re.sub(r"((?:\S+\s+){2})", r"\1| ", prose(i, 90)), "en", "a") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    found = outliers.judge(docs).toPandas()
+    bars = found[(found["doc_id"] >= 2000) & ~found["base_failed"]]
+    assert len(bars) and bars["distance"].min() < 41 and not bars["kept"].any()
