@@ -25,11 +25,16 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A path below the shared folder that nothing else uses."""
+    return f"{shared_dir(spark)}/barlake/{name}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared folder and read it back: a short, recoverable lineage.
 
     The files belong to the job's scratch space; whoever owns that folder clears it.
     """
-    path = f"{shared_dir(df.sparkSession)}/barlake/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
