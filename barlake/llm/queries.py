@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import decontaminate, langid, licenses, outliers, packing, quality, secrets, sharding, simhash, suffix_dedup
+from barlake.functions.scratch import scratch_path
+from barlake.llm import (
+    centroids,
+    decontaminate,
+    langid,
+    licenses,
+    outliers,
+    packing,
+    quality,
+    resample,
+    secrets,
+    sharding,
+    simhash,
+    suffix_dedup,
+    warc,
+)
 from barlake.llm.common import table
 
 SHARDS = 24
@@ -93,6 +108,23 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_orchard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of all pages, written to the shared folder and read back."""
+    archives = scratch_path(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), archives)
+    read = warc.read_archives(spark, archives).where("kind = 'record'")
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_langid": op2_langid,
@@ -104,10 +136,42 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_outliers": op9_outliers,
     "op10_decontaminate": op10_decontaminate,
+    "op11_orchard": op11_orchard,
+    "op12_resample": op12_resample,
+    "op13_warc": op13_warc,
 }
 _VALUES = ", ".join(f"('{name}', '{statement}')" for name, statement in licenses.TEMPLATES)
 _SPLIT = "list_filter(regexp_split_to_array(lower({}), '[^a-z0-9]+'), lambda t: t <> '')"
 
+
+def _cluster_rounds() -> str:
+    """The rounds of the clustering, one assignment and one table of centroids each."""
+    out = []
+    for i in range(centroids.ROUNDS + 1):
+        out.append(f"""
+      a{i} AS MATERIALIZED (
+        SELECT rid, vec_id, v, c AS cluster, d AS distance FROM (
+          SELECT rid, vec_id, v, c, list_sum(list_transform(list_zip(v, m), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+          FROM ints, c{i})
+        QUALIFY row_number() OVER (PARTITION BY rid ORDER BY d, c) = 1)""")
+        if i < centroids.ROUNDS:
+            out.append(f"""
+      c{i + 1} AS MATERIALIZED (
+        SELECT c{i}.c, coalesce(n.m, c{i}.m) AS m FROM c{i} LEFT JOIN (
+          SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY k) AS m FROM (
+            SELECT cluster, k, sum(v[k])::BIGINT AS s, count(*) AS n FROM a{i}, range(1, {centroids.DIMENSIONS + 1}) AS t(k) GROUP BY 1, 2)
+          GROUP BY 1) n ON n.cluster = c{i}.c)""")
+    return ",".join(out)
+
+
+_CRC_TABLE = """
+        SELECT list(v ORDER BY i) AS crc FROM (
+          SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END,
+                                CAST(i AS BIGINT)) AS v
+          FROM range(256) AS t(i))"""
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
 def _network_rounds() -> str:
     """The rounds of the permutation as nested selects over ``walk`` (l, r: the halves)."""
     prime, inner = sharding.PRIME, "SELECT w.*, x >> low AS l, x & ((1 << low) - 1) AS r FROM walk w WHERE x >= n OR NOT moved"
@@ -205,5 +269,66 @@ ORACLES: dict[str, str] = {
         SELECT dir, arg_min(license, row(-cosine, license)) AS license FROM own WHERE whole GROUP BY 1)
       SELECT f.doc_id, f.dir || '/' || f.doc_id AS path, coalesce(o.license, h.license) AS license, o.cosine,
              CASE WHEN o.doc_id IS NOT NULL THEN 'own' WHEN h.dir IS NOT NULL THEN 'inherited' END AS origin
-      FROM files f LEFT JOIN own o ON o.doc_id = f.doc_id LEFT JOIN holders h ON h.dir = f.dir"""
+      FROM files f LEFT JOIN own o ON o.doc_id = f.doc_id LEFT JOIN holders h ON h.dir = f.dir""",
+    "op11_orchard": f"""
+      WITH ints AS MATERIALIZED (
+        SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor({centroids.SCALE} * x::DOUBLE)::BIGINT) AS v
+        FROM embeddings
+        WHERE len(embedding) = {centroids.DIMENSIONS}
+          AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {centroids.DIMENSIONS}),
+      c0 AS MATERIALIZED (
+        SELECT (row_number() OVER (ORDER BY h) - 1)::INTEGER AS c, v AS m FROM (
+          SELECT sha256('{centroids.SEED}:' || vec_id) AS h, v FROM ints ORDER BY h LIMIT {centroids.CLUSTERS})),
+      {_cluster_rounds()}
+      SELECT vec_id, cluster, distance, sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia,
+             sum(distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+      FROM a{centroids.ROUNDS} JOIN c{centroids.ROUNDS} ON c = cluster""",
+    "op12_resample": f"""
+      WITH crc_table AS ({_CRC_TABLE}),
+      cut AS (
+        SELECT row_number() OVER () AS rid, doc_id,
+               regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS words
+        FROM documents),
+      feats AS (SELECT rid, unnest(words) AS word FROM cut),
+      aims AS (
+        SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                                         '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')) AS word FROM benchmark),
+      hashed AS (
+        SELECT word, xor(list_reduce(list_transform(range(1, octet_length(encode(word)) + 1),
+                                                    lambda k: CAST('0x' || hex(array_slice(encode(word), k, k)) AS BIGINT)),
+                                     lambda c, x: xor(c >> 8, crc[(xor(c, x) & 255) + 1]), CAST(4294967295 AS BIGINT)),
+                         4294967295) % {resample.BUCKETS} AS bucket
+        FROM (SELECT word FROM feats UNION SELECT word FROM aims), crc_table),
+      s AS (SELECT bucket, count(*) AS s FROM feats JOIN hashed USING (word) GROUP BY 1),
+      t AS (SELECT bucket, count(*) AS t FROM aims JOIN hashed USING (word) GROUP BY 1),
+      totals AS (SELECT (SELECT count(*) FROM feats) AS sa, (SELECT count(*) FROM aims) AS ta),
+      gains AS (
+        SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (sa + {resample.BUCKETS})::DOUBLE
+                                       / ((s + 1)::DOUBLE * (ta + {resample.BUCKETS})::DOUBLE)))::BIGINT AS gain
+        FROM s LEFT JOIN t USING (bucket), totals),
+      sums AS (
+        SELECT rid, count(*) AS n, sum(gain)::BIGINT AS g FROM feats JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY 1),
+      scored AS (
+        SELECT rid, doc_id, len(words) AS n_words, coalesce(n, 0)::BIGINT AS n_features,
+               coalesce((g - ((g % n) + n) % n) // n, 0)::BIGINT AS weight,
+               ('0x' || left(sha256('{resample.SEED}:' || doc_id), 8))::BIGINT AS h
+        FROM cut LEFT JOIN sums USING (rid)),
+      drawn AS (
+        SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296.0::DOUBLE)))::BIGINT AS score FROM scored),
+      ranked AS (
+        SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS able
+        FROM drawn WHERE n_words >= {resample.LEAST_WORDS})
+      SELECT doc_id, n_features, weight, score, CASE WHEN r <= {resample.SHARE} * able // 100 THEN r END AS rank
+      FROM drawn LEFT JOIN ranked USING (rid)""",
+    "op13_warc": f"""
+      WITH sums AS (
+        SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+      firsts AS (SELECT *, CASE WHEN n >= {warc.LEAST_BYTES} THEN max(page_id) OVER (PARTITION BY h) ELSE page_id END AS first FROM sums)
+      SELECT page_id, n AS payload_bytes,
+             list_reduce(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               (1 + ((('0x' || substr(h, (1 + 5 * (i // 4))::BIGINT, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31))::BIGINT, 1)),
+               lambda a, b: a || b) AS payload_digest,
+             CASE WHEN first IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+             CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to
+      FROM firsts""",
 }
