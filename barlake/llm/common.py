@@ -54,6 +54,30 @@ def row_numbers(
     )
 
 
+#: A key with more than this share of the rows is hot; there are at most 1 / HOT_SHARE of them.
+HOT_SHARE = 1e-3
+
+
+def hot_join(left: DataFrame, right: DataFrame, on: str, weight: str, rows: int, share: float = HOT_SHARE) -> DataFrame:
+    """Inner join on a key that ``right`` has once, with ``weight`` = its rows in ``left``.
+
+    Keys with more than ``share`` of all ``rows`` of ``left`` are joined by a broadcast of
+    at most 1 / ``share`` rows, the others by a shuffle, so no task gets more than that share.
+    """
+    limit = max(share * rows, 1)
+    hot, cold = right.where(F.col(weight) > limit), right.where(F.col(weight) <= limit)
+    rest = left.join(F.broadcast(hot.select(on)), on, "left_anti")
+    return rest.join(cold, on).unionByName(left.join(F.broadcast(hot), on))
+
+
+def unused_name(columns: Sequence[str], name: str) -> str:
+    """A column name that starts with __ and is not among ``columns`` (in any case)."""
+    taken, name = {c.lower() for c in columns}, f"__{name}"
+    while name in taken:
+        name += "_"
+    return name
+
+
 # ---- words as arrays -------------------------------------------------------------------
 
 #: Bytes that separate words: space and 0x09 to 0x0D.

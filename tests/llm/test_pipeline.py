@@ -41,8 +41,8 @@ def test_stages_equal_brute_force(spark):
     """What each stage keeps or changes, from plain loops over its own input."""
     from barlake.llm import decontaminate, secrets
     from tests.llm.test_decontaminate import brute_tiles
+    from tests.llm.test_alike import brute_kept
     from tests.llm.test_secrets import brute
-    from tests.llm.test_simhash import brute_components, brute_print
 
     docs = table(spark, SF_DIR, "documents")
     items = [r["text"] for r in table(spark, SF_DIR, "benchmark").select("text").collect()]
@@ -51,8 +51,7 @@ def test_stages_equal_brute_force(spark):
 
     rows = {r["doc_id"]: r["text"] for r in docs.collect()}
     kept = {r["doc_id"] for r in stages["near_copies"](spark, docs, SF_DIR).collect()}
-    prints = [(i, brute_print(t)) for i, t in rows.items()]
-    assert kept == {least for _, least in brute_components(prints)}
+    assert kept == brute_kept(list(rows.items()))
 
     seeds = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in enumerate(map(split, items))}
     leaks = set()
