@@ -1,68 +1,192 @@
-"""Exponential moving averages as running sums inside bounded blocks.
+"""Exponential moving averages as a scan of affine maps.
 
 The non-adjusted average starts at the first value present. A later value x, g rows
 after the last one present, gives ``y = c*y + (1-c)*x`` with ``c = q^g / (q^g + a)``,
 ``a = 2/(span+1)`` and ``q = 1-a``; without gaps c is q. Rows without a value hold the
-average. With S, the running sum of log c, this unrolls to
-``y = exp(S) * sum of (1-c) * x * exp(-S)``: two running sums. Each value present
-shrinks older weights by q at least, so after ``memory(span)`` of them they are below
-double precision, and a block that starts that many values early gives the same
-result as the whole series. Blocks are short enough to keep ``exp(-S)`` finite if
-some ten in a hundred rows of a stretch have a value.
+average. Each row is an affine map of the averages before it, and maps compose: rows are
+packed into blocks, a fold over a block composes its maps, the maps of whole blocks give
+every block the averages it starts from, and a row applies its own map to those. All
+factors lie between 0 and 1, so no gap and no length of the series overflows, and no
+value is left out.
+
+The MACD line and its signal are part of the same maps: the signal ``s = q*s + a*(fast -
+slow)`` moves on in every row, also where the averages hold.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Sequence
 
-from pyspark.sql import Column, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# e**-40 is about 4e-18, below the last bit of a double.
-NEGLIGIBLE = 40.0
-# q**-(block + memory) must stay far below 1e308 for every span in use.
-EMA_BLOCK_ROWS = 1024
-STEP = "_step"
+from barlake.functions.ranks import index_rows, join_nullsafe
+from barlake.functions.scalars import col
+from barlake.functions.series import DAILY, POSITION, Series
+
+BLOCK_ROWS = 512
+FAST, SLOW, SIGNAL = 12, 26, 9
+_BLOCK = "_ema_block"
 
 
 def alpha(span: int) -> float:
     return 2.0 / (span + 1)
 
 
-def memory(span: int) -> int:
-    """Rows after which a starting value no longer shows in the result."""
-    return math.ceil(NEGLIGIBLE / -math.log(1.0 - alpha(span)))
-
-
-def step(w: WindowSpec) -> Column:
-    """Row number inside the block; the other functions read it as column ``STEP``."""
-    return F.row_number().over(w) - 1
-
-
-def gap(x: Column, w: WindowSpec) -> Column:
-    """Rows since the last value present before this one; NULL if there was none. Reads ``STEP``."""
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    return F.col(STEP) - F.last(F.when(x.isNotNull(), F.col(STEP)), ignorenulls=True).over(before)
-
+class Maps:
+    """Affine maps of the averages of some spans, and of the MACD signal if ``macd``.
 
-def _kept(rows: Column, span: int) -> Column:
-    """Share of the old average that a value ``rows`` rows after the last one leaves."""
-    old = F.pow(F.lit(1.0 - alpha(span)), rows)
-    return old / (old + alpha(span))
-
-
-def fading(x: Column, rows: Column, span: int, w: WindowSpec) -> Column:
-    """Running sum of the logarithms of the kept shares."""
-    running = w.rowsBetween(Window.unboundedPreceding, 0)
-    faded = F.when(x.isNotNull() & rows.isNotNull(), F.log(_kept(rows, span)))
-    return F.coalesce(F.sum(faded).over(running), F.lit(0.0))
-
-
-def ema(x: Column, rows: Column, faded: Column, span: int, w: WindowSpec) -> Column:
-    """EMA of x from its :func:`gap` and :func:`fading` columns; NULL before the first value.
+    A map is a struct: factor ``m`` and addend ``b`` of each span; for the signal its own
+    factor ``ms``, addend ``bs``, and the shares ``pf`` and ``ps`` of the fast and the slow
+    average before it.
+    """
 
-    ``w`` must be a window over blocks of at most a few thousand rows.
+    def __init__(self, spans: Sequence[int], macd: bool):
+        self.spans = sorted({*spans, *((FAST, SLOW) if macd else ())})
+        self.macd = macd
+        self.fields = [f"{x}{n}" for n in self.spans for x in "mb"] + (["ms", "pf", "ps", "bs"] if macd else [])
+
+    def struct(self, values: dict[str, Column]) -> Column:
+        return F.struct(*[values[f].alias(f) for f in self.fields])
+
+    def identity(self) -> Column:
+        return self.struct({f: F.lit(1.0 if f[0] == "m" else 0.0) for f in self.fields})
+
+    def of_row(self, x: Column, gap: Column) -> Column:
+        """The map of a row: x its value, ``gap`` the rows since the last one present (NULL: none)."""
+        out: dict[str, Column] = {}
+        for n in self.spans:
+            old = F.pow(F.lit(1.0 - alpha(n)), gap)
+            kept = F.coalesce(old / (old + alpha(n)), F.lit(0.0))
+            out[f"m{n}"] = F.when(x.isNull(), 1.0).otherwise(kept)
+            out[f"b{n}"] = F.when(x.isNull(), 0.0).otherwise((1 - kept) * x)
+        if self.macd:
+            a = F.when(gap.isNull(), 1.0).otherwise(alpha(SIGNAL))
+            out["ms"] = 1 - a
+            out["pf"], out["ps"] = a * out[f"m{FAST}"], -a * out[f"m{SLOW}"]
+            out["bs"] = a * (out[f"b{FAST}"] - out[f"b{SLOW}"])
+        return self.struct(out)
+
+    def then(self, first: Column, second: Column) -> Column:
+        """The map that applies ``first``, then ``second``."""
+        out: dict[str, Column] = {}
+        for n in self.spans:
+            out[f"m{n}"] = second[f"m{n}"] * first[f"m{n}"]
+            out[f"b{n}"] = second[f"m{n}"] * first[f"b{n}"] + second[f"b{n}"]
+        if self.macd:
+            out["ms"] = second["ms"] * first["ms"]
+            out["pf"] = second["ms"] * first["pf"] + second["pf"] * first[f"m{FAST}"]
+            out["ps"] = second["ms"] * first["ps"] + second["ps"] * first[f"m{SLOW}"]
+            out["bs"] = (
+                second["ms"] * first["bs"]
+                + second["pf"] * first[f"b{FAST}"]
+                + second["ps"] * first[f"b{SLOW}"]
+                + second["bs"]
+            )
+        return self.struct(out)
+
+    def prefixes(self, maps: Column) -> Column:
+        """All composed beginnings of an array of maps, the whole one last."""
+        start = F.array(self.identity())
+        grown = F.aggregate(
+            maps, start, lambda done, m: F.concat(done, F.array(self.then(F.element_at(done, -1), m)))
+        )
+        return F.slice(grown, F.lit(2), F.size(maps))
+
+    def composed(self, maps: Column) -> Column:
+        return F.aggregate(maps, self.identity(), self.then)
+
+
+def _gaps(df: DataFrame, value: str, series: Series) -> tuple[DataFrame, Column]:
+    """``df`` with positions and blocks, and the rows since the last value present."""
+    keys, at = list(series.keys), F.col(POSITION)
+    present = F.when(col(value).isNotNull(), at)
+    if series.tie is None or series.block_rows is None:
+        before = series.window().rowsBetween(Window.unboundedPreceding, -1)
+        placed = series.with_positions(df).withColumn(_BLOCK, F.floor(at / BLOCK_ROWS))
+        return placed.withColumn("_last", F.last(present, ignorenulls=True).over(before)), at - F.col("_last")
+    placed = index_rows(df, keys, series.time, series.tie, POSITION).withColumn(_BLOCK, F.floor(at / BLOCK_ROWS))
+    inside = Window.partitionBy(*keys, _BLOCK).orderBy(POSITION).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = placed.groupBy(*keys, _BLOCK).agg(F.max(present).alias("_latest"))
+    blocks = blocks.withColumn("_earlier", F.max("_latest").over(earlier)).drop("_latest")
+    local = placed.withColumn("_local", F.last(present, ignorenulls=True).over(inside))
+    found = join_nullsafe(local, blocks, [*keys, _BLOCK])
+    return found.withColumn("_last", F.coalesce("_local", "_earlier")).drop("_local", "_earlier"), at - F.col("_last")
+
+
+def _carried(blocks: DataFrame, keys: list[str], maps: Maps, levels: int) -> DataFrame:
+    """Add ``_start``, the composed maps of all earlier blocks of the series, to rows (keys, block, last).
+
+    One level folds over all earlier blocks. A further one cuts the blocks into blocks, too.
+    """
+    if levels <= 1:
+        earlier = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+        return blocks.withColumn("_start", maps.composed(F.collect_list("_whole").over(earlier)))
+    upper = (
+        blocks.groupBy(*keys, F.floor(F.col(_BLOCK) / BLOCK_ROWS).alias("_upper"))
+        .agg(F.sort_array(F.collect_list(F.struct(_BLOCK, "_whole"))).alias("_parts"))
+        .withColumn("_done", maps.prefixes(F.col("_parts._whole")))
+        .select(*keys, F.col("_upper").alias(_BLOCK), F.element_at("_done", -1).alias("_whole"), "_parts", "_done")
+    )
+    started = _carried(upper, keys, maps, levels - 1)
+    before = F.concat(F.array(maps.identity()), F.slice("_done", 1, F.size("_done") - 1))
+    each = started.select(*keys, "_start", F.inline(F.arrays_zip(F.col(f"_parts.{_BLOCK}").alias("_at"), before.alias("_before"))))
+    starts = each.select(*keys, F.col("_at").alias(_BLOCK), maps.then(F.col("_start"), F.col("_before")).alias("_start"))
+    return join_nullsafe(blocks, starts, [*keys, _BLOCK])
+
+
+def averages(
+    df: DataFrame, value: str, spans: Sequence[int], macd: bool = False, series: Series = DAILY
+) -> DataFrame:
+    """Add ``ema_<span>`` of ``value`` for each span; with ``macd`` also macd, macd_signal and macd_hist.
+
+    NULL before the first value present of a series; later rows without one hold it.
     """
-    running = w.rowsBetween(Window.unboundedPreceding, 0)
-    share = F.coalesce(1 - _kept(rows, span), F.lit(1.0))
-    return F.exp(faded) * F.sum(share * F.exp(-faded) * x).over(running)
+    keys, maps = list(series.keys), Maps(spans, macd)
+    placed, gap = _gaps(df, value, series)
+    row = F.struct(*[col(c) for c in df.columns if c not in keys])
+    packed = (
+        placed.groupBy(*keys, _BLOCK)
+        .agg(
+            F.sort_array(
+                F.collect_list(
+                    F.struct(
+                        POSITION,
+                        (F.col("_last").isNotNull() | col(value).isNotNull()).alias("begun"),
+                        maps.of_row(col(value), gap).alias("map"),
+                        row.alias("row"),
+                    )
+                )
+            ).alias("_rows")
+        )
+        .withColumn("_done", maps.prefixes(F.col("_rows.map")))
+        .withColumn("_whole", F.element_at("_done", -1))
+    )
+    # 512 ** 3 rows of a long series; a calendar has a few blocks only.
+    levels = 1 if series.tie is None or series.block_rows is None else 3
+    if levels == 1:
+        started = _carried(packed, keys, maps, 1)
+    else:
+        starts = _carried(packed.select(*keys, _BLOCK, "_whole"), keys, maps, levels).drop("_whole")
+        started = join_nullsafe(packed, starts, [*keys, _BLOCK])
+    zipped = F.arrays_zip(F.col("_rows.row").alias("row"), F.col("_rows.begun").alias("begun"), F.col("_done").alias("map"))
+    rows = started.select(*keys, "_start", F.explode(zipped).alias("_r"))
+    out: dict[str, Column] = {}
+    for n in maps.spans:
+        out[f"ema_{n}"] = F.col(f"_r.map.m{n}") * F.col(f"_start.b{n}") + F.col(f"_r.map.b{n}")
+    if macd:
+        m = F.col("_r.map")
+        out["macd"] = out[f"ema_{FAST}"] - out[f"ema_{SLOW}"]
+        out["macd_signal"] = (
+            m["ms"] * F.col("_start.bs")
+            + m["pf"] * F.col(f"_start.b{FAST}")
+            + m["ps"] * F.col(f"_start.b{SLOW}")
+            + m["bs"]
+        )
+        out["macd_hist"] = out["macd"] - out["macd_signal"]
+    wanted = [f"ema_{n}" for n in spans] + (["macd", "macd_signal", "macd_hist"] if macd else [])
+    return rows.select(
+        *[col(c) if c in keys else F.col("_r.row")[c].alias(c) for c in df.columns],
+        *[F.when(F.col("_r.begun"), out[name]).alias(name) for name in wanted],
+    )

@@ -12,10 +12,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from itertools import zip_longest
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from barlake.functions.ema import EMA_BLOCK_ROWS, STEP, ema, fading, gap, memory, step
+from barlake.functions.ema import averages
 from barlake.functions.scalars import finite_or_null, gain, loss, ratio
 from barlake.functions.series import DAILY, Series, lag, lead, roll
 from barlake.schemas import FEATURES, TARGET
@@ -28,8 +28,6 @@ REACH_RSI = 14
 REACH_VOLATILITY = 20
 REACH_SMA = 19
 REACH_DRAWDOWN = 38
-REACH_EMA = memory(20)
-REACH_MACD = memory(26) + memory(9)
 
 # Derived columns of the wide feature set, in table order.
 WIDE_FEATURES = [
@@ -160,44 +158,9 @@ def volume_level(w: WindowSpec) -> Layers:
     ]
 
 
-def _faded(spans: tuple[int, ...], w: WindowSpec) -> Layers:
-    """Helper columns of the EMAs of ``Close``."""
-    close = F.col("Close")
-    return [
-        {STEP: step(w)},
-        {"_gap": gap(close, w)},
-        {f"_faded_{n}": fading(close, F.col("_gap"), n, w) for n in spans},
-    ]
-
-
-def _close_ema(span: int, w: WindowSpec) -> Column:
-    return ema(F.col("Close"), F.col("_gap"), F.col(f"_faded_{span}"), span, w)
-
-
-def smooth(w: WindowSpec) -> Layers:
-    """``w`` must range over bounded blocks; see :mod:`barlake.functions.ema`."""
-    return [
-        *_faded((10, 20), w),
-        {f"ema_{n}": _close_ema(n, w) for n in (10, 20)},
-        {f"ema_ratio_{n}": ratio(F.col("Close"), F.col(f"ema_{n}")) - 1 for n in (10, 20)},
-    ]
-
-
-def macd(w: WindowSpec) -> Layers:
-    """``w`` must range over bounded blocks; see :mod:`barlake.functions.ema`.
-
-    The line has no gaps once it has begun, for its averages hold.
-    """
-    line = F.col("macd")
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    return [
-        *_faded((12, 26), w),
-        {"macd": _close_ema(12, w) - _close_ema(26, w)},
-        {"_line_gap": F.when(F.count(line).over(before) > 0, F.lit(1))},
-        {"_faded_9": fading(line, F.col("_line_gap"), 9, w)},
-        {"macd_signal": ema(line, F.col("_line_gap"), F.col("_faded_9"), 9, w)},
-        {"macd_hist": line - F.col("macd_signal")},
-    ]
+def smooth_ratios(w: WindowSpec) -> Layers:
+    """Reads ``ema_10`` and ``ema_20``."""
+    return [{f"ema_ratio_{n}": ratio(F.col("Close"), F.col(f"ema_{n}")) - 1 for n in (10, 20)}]
 
 
 def next_target(w: WindowSpec) -> Layers:
@@ -271,11 +234,11 @@ def forward_returns(bars: DataFrame, series: Series = DAILY) -> DataFrame:
 
 
 def ema_features(bars: DataFrame, series: Series = DAILY) -> DataFrame:
-    return _apply(bars, series.blocked(EMA_BLOCK_ROWS, "Close"), smooth, back=REACH_EMA)
+    return add(averages(bars, "Close", (10, 20), series=series), series.window(), smooth_ratios)
 
 
 def macd_features(bars: DataFrame, series: Series = DAILY) -> DataFrame:
-    return _apply(bars, series.blocked(EMA_BLOCK_ROWS, "Close"), macd, back=REACH_MACD)
+    return averages(bars, "Close", (), macd=True, series=series)
 
 
 def market_features(bars: DataFrame, series: Series = DAILY) -> DataFrame:
@@ -297,14 +260,10 @@ def market_features(bars: DataFrame, series: Series = DAILY) -> DataFrame:
 def market_features_wide(bars: DataFrame, series: Series = DAILY) -> DataFrame:
     """All 32 derived columns, rows complete in every one of them."""
     groups = (
-        returns, sma, smooth, momentum, rsi, macd, volatility, drawdown, volume_change, volume_level
-    )
-    built = _apply(
-        bars,
-        series.blocked(EMA_BLOCK_ROWS, "Close"),
-        *groups,
-        back=max(REACH_MACD, REACH_DRAWDOWN),
+        returns, sma, smooth_ratios, momentum, rsi, volatility, drawdown, volume_change, volume_level
     )
+    averaged = averages(bars, "Close", (10, 20), macd=True, series=series)
+    built = _apply(averaged, series, *groups, back=REACH_DRAWDOWN)
     return built.select(*[F.col(f"`{c}`") for c in bars.columns], *WIDE_FEATURES).dropna(
         subset=WIDE_FEATURES
     )

@@ -17,6 +17,7 @@ from barlake.plans.queries import (
     RANGE_START,
     UPSERT_FROM,
 )
+from barlake.operators.features import WIDE_FEATURES
 from barlake.schemas import BASELINE_FEATURES, FEATURES, METRICS, NEWS_FEATURES, PRICE_COLUMNS, TARGET
 
 W = "PARTITION BY symbol ORDER BY Date"
@@ -135,16 +136,6 @@ def drawdowns(source: str, deep: float) -> str:
             FROM ({source}))"""
 
 
-WIDE = [
-    *["simple_return", "log_return", "sma_10", "sma_20", "ema_10", "ema_20"],
-    *["sma_ratio_10", "sma_ratio_20", "ema_ratio_10", "ema_ratio_20", "mom_5", "mom_10", "rsi_14"],
-    *["macd", "macd_signal", "macd_hist", "volatility_10", "volatility_20", "high_low_range"],
-    *["drawdown_10", "drawdown_20", "max_drawdown_20", "drawdown_change", "drawdown_abs"],
-    *["drawdown_persistence", "volatility_20_sq", "ret_5", "ret_10", "log_volume"],
-    *["volume_change", "volume_ma_10", "volume_ratio_10"],
-]
-
-
 def wide_ctes(source: str) -> str:
     """CTE ``wide``: all 32 derived columns, complete rows; needs WITH RECURSIVE."""
     return f"""{ema_ctes(source)},
@@ -172,7 +163,7 @@ def wide_ctes(source: str) -> str:
                     FROM smooth) s ON s_symbol = d.symbol AND s_rn = d.rn
               WINDOW w AS ({W}))),
       wide AS (SELECT * FROM wide_raw
-               WHERE {" AND ".join(f"{c} IS NOT NULL" for c in WIDE)})"""
+               WHERE {" AND ".join(f"{c} IS NOT NULL" for c in WIDE_FEATURES)})"""
 
 
 FORWARD = f"""
@@ -567,7 +558,7 @@ ORACLES: dict[str, str] = {
     "market_features": f"SELECT symbol, Date, {PRICES}, {r6(*FEATURES)}, {TARGET} FROM ({FEATURE_ROWS})",
     "market_features_wide": f"""
       WITH RECURSIVE {wide_ctes(LINE_BARS)}
-      SELECT symbol, Date, {PRICES}, {r6(*WIDE)} FROM wide""",
+      SELECT symbol, Date, {PRICES}, {r6(*WIDE_FEATURES)} FROM wide""",
     "market_features_by_supplier": f"""
       SELECT symbol, Date, {PRICES}, {r6(*FEATURES)}, {TARGET}
       FROM ({features(bars("CAST(l_suppkey AS VARCHAR)"))})""",
@@ -894,8 +885,11 @@ def _recursive_average(x: str, e: str, w: str, span: int) -> tuple[str, str]:
     return value, weight
 
 
-def _gappy_averages() -> str:
-    """Averages of the gappy closes by recursion, row by row; needs WITH RECURSIVE."""
+_SPARSE = f"""SELECT * REPLACE (CASE WHEN dayofyear(Date) % 10 = 7 THEN Close END AS Close) FROM ({LINE_BARS})"""
+
+
+def _gappy_averages(source: str = _GAPPY) -> str:
+    """Averages of closes, some missing, by recursion, row by row; needs WITH RECURSIVE."""
     spans = (10, 20, 12, 26)
     steps = {n: _recursive_average("n.Close", f"e.e{n}", f"e.w{n}", n) for n in spans}
     first = ", ".join(f"Close AS e{n}, 1::DOUBLE AS w{n}" for n in spans)
@@ -903,7 +897,7 @@ def _gappy_averages() -> str:
     a = "(2.0::DOUBLE / 10)"
     line = f"(({steps[12][0]}) - ({steps[26][0]}))"
     return f"""
-      numbered AS MATERIALIZED (SELECT *, row_number() OVER ({W}) AS rn FROM ({_GAPPY})),
+      numbered AS MATERIALIZED (SELECT *, row_number() OVER ({W}) AS rn FROM ({source})),
       smooth AS (
         SELECT symbol, Date, rn, {first}, Close - Close AS signal FROM numbered WHERE rn = 1
         UNION ALL
@@ -932,6 +926,14 @@ ORACLES |= {
       WITH RECURSIVE {_gappy_averages()}
       SELECT symbol, Date, Close, round(e12 - e26, 6) AS macd, round(signal, 6) AS macd_signal
       FROM smooth JOIN numbered USING (symbol, Date, rn)""",
+    "f_ema_sparse": f"""
+      WITH RECURSIVE {_gappy_averages(_SPARSE)}
+      SELECT symbol, Date, Close, round(e10, 6) AS ema_10, round(e20, 6) AS ema_20
+      FROM smooth JOIN numbered USING (symbol, Date, rn)""",
+    "f_macd_sparse": f"""
+      WITH RECURSIVE {_gappy_averages(_SPARSE)}
+      SELECT symbol, Date, Close, round(e12 - e26, 6) AS macd, round(signal, 6) AS macd_signal
+      FROM smooth JOIN numbered USING (symbol, Date, rn)""",
     "feature_contract_newest_first": f"""WITH rows_in AS MATERIALIZED ({FEATURE_ROWS}) {contract(
         [(t, c, _NEWEST_FIRST if t.endswith("be_increasing") else q) for t, c, q in feature_rules()])}""",
     "contract_report_unjudged": f"""

@@ -35,7 +35,8 @@ QUERIES: dict[str, Query] = {}
 
 KEYS = ["symbol", "Date"]
 # Ticks have no calendar bound per symbol: blocks of rows instead of one group.
-TICKS = Series(time="Date", tie="event_id", block_rows=20_000)
+# Small ones, so that also small tables have block edges.
+TICKS = Series(time="Date", tie="event_id", block_rows=500)
 
 # The parameters of the registered queries.
 EVENT_HOURS = [f"2024-01-{day:02d} 12:00:00" for day in (5, 9, 14, 20, 26)]
@@ -832,6 +833,22 @@ def f_macd_gaps(spark, d):
     return _close_columns(features.macd_features(_gappy_bars(spark, d)), "macd", "macd_signal")
 
 
+def _sparse_bars(spark: SparkSession, d: str) -> DataFrame:
+    """Bars of which one in ten has a close."""
+    bars = tables.line_bars(spark, d)
+    return bars.withColumn("Close", F.when(F.dayofyear("Date") % 10 == 7, F.col("Close")))
+
+
+@query
+def f_ema_sparse(spark, d):
+    return _close_columns(features.ema_features(_sparse_bars(spark, d)), "ema_10", "ema_20")
+
+
+@query
+def f_macd_sparse(spark, d):
+    return _close_columns(features.macd_features(_sparse_bars(spark, d)), "macd", "macd_signal")
+
+
 @query
 def feature_contract_newest_first(spark, d):
     """A feature table stored newest first breaks exactly the order rule."""
@@ -879,8 +896,7 @@ def tick_positions_at_events(spark, d):
     """Where events fall in a series of ticks: rows before each one."""
     ticks = tables.event_ticks(spark, d)
     marks = events.event_list(spark, ODD_EVENTS, "view", "timestamp_ntz")
-    series = Series(time="Date", tie="event_id", block_rows=500)
-    return events.event_positions(ticks, marks, series).select(
+    return events.event_positions(ticks, marks, TICKS).select(
         "symbol", "event_id", F.col("_at").alias("rows_before")
     )
 

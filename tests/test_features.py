@@ -6,7 +6,7 @@ import pytest
 from conftest import bars_of, pandas_of
 from pyspark.sql import functions as F
 
-from barlake.functions.ema import EMA_BLOCK_ROWS, memory
+from barlake.functions.ema import BLOCK_ROWS, averages
 from barlake.functions.series import Series, warm_up
 from barlake.operators import features as X
 from barlake.schemas import BAR_SCHEMA, FEATURES, TARGET
@@ -114,7 +114,7 @@ def expected_wide(closes, volumes):
 
 
 def test_wide_features_match_pandas_across_blocks(spark):
-    n = EMA_BLOCK_ROWS + 700
+    n = BLOCK_ROWS + 700
     closes, volumes = noisy(n), [1_000_001 + (i * 7919) % 5000 for i in range(n)]
     out = pandas_of(X.market_features_wide(bars_of(spark, closes, volumes)))
     expected = expected_wide(closes, volumes)
@@ -166,12 +166,6 @@ def test_warm_up_gives_the_same_range(spark):
     pd.testing.assert_frame_equal(pandas_of(full), pandas_of(short))
 
 
-def test_ema_memory_is_below_double_precision():
-    for span in (9, 10, 12, 20, 26):
-        assert (1 - 2 / (span + 1)) ** memory(span) < 1e-16
-    assert BAR_SCHEMA.fieldNames()[0] == "symbol"
-
-
 @pytest.mark.parametrize("missing", [{0, 1, 2}, {5, 6, 40}, set(range(20, 33)), set(range(0, 3000, 3)), set(range(1020, 1030))])
 def test_averages_with_missing_closes_equal_the_recursion(spark, missing):
     rng = np.random.default_rng(8)
@@ -188,3 +182,21 @@ def test_averages_with_missing_closes_equal_the_recursion(spark, missing):
     line = x.ewm(span=12, adjust=False).mean() - x.ewm(span=26, adjust=False).mean()
     np.testing.assert_allclose(got["macd"].to_numpy(float), line, atol=1e-9)
     np.testing.assert_allclose(got["macd_signal"].to_numpy(float), line.ewm(span=9, adjust=False).mean(), atol=1e-9)
+
+
+@pytest.mark.parametrize("every", [10, 100])
+@pytest.mark.parametrize("long", [False, True])
+def test_averages_of_sparse_closes_over_many_rows(spark, every, long):
+    n = 20_000
+    rng = np.random.default_rng(every)
+    closes = np.where(np.arange(n) % every == 3, 100 + np.cumsum(rng.normal(0, 1, n)), np.nan)
+    frame = pd.DataFrame({"symbol": "T", "Date": range(n), "event_id": 0, "Close": closes})
+    df = spark.createDataFrame(frame).withColumn("Close", F.nanvl("Close", F.lit(None)))
+    series = Series(tie="event_id", block_rows=500) if long else Series()
+    got = averages(df, "Close", (10, 20), macd=True, series=series).toPandas().sort_values("Date")
+    x = pd.Series(closes)
+    for span in (10, 20):
+        np.testing.assert_allclose(got[f"ema_{span}"].to_numpy(float), x.ewm(span=span, adjust=False).mean(), rtol=1e-12)
+    line = x.ewm(span=12, adjust=False).mean() - x.ewm(span=26, adjust=False).mean()
+    np.testing.assert_allclose(got["macd"].to_numpy(float), line, atol=1e-10)
+    np.testing.assert_allclose(got["macd_signal"].to_numpy(float), line.ewm(span=9, adjust=False).mean(), atol=1e-10)
