@@ -969,3 +969,22 @@ ORACLES |= {
              true AS probabilities_in_range, true AS predictions_follow
       FROM ({SPLIT}) GROUP BY 1""",
 }
+
+_GATE_RULES = (
+    [(f"{PAIR_RULE}({a},{b})", f"{a} < {b}") for a, b in PAIRS]
+    + [(f"{EXPECT}be_between({c})", f'"{c}" <= 0') for c in PRICE_COLUMNS]
+    + [(f"{EXPECT}be_between(Volume)", "Volume < 0")]
+)
+
+ORACLES |= {
+    "stream_event_bars": ORACLES["scan_event_bars"],
+    "stream_market_features": f"SELECT symbol, Date, {r6(*FEATURES)}, {TARGET} FROM ({FEATURE_ROWS})",
+    "stream_contract_gate": f"""
+      WITH rows_in AS MATERIALIZED ({LINE_ROWS})
+      SELECT symbol, 'quarantine' AS side, rule, count(*) AS rows FROM ({" UNION ALL ".join(
+          f"SELECT symbol, '{rule}' AS rule FROM rows_in WHERE {condition}" for rule, condition in _GATE_RULES)})
+      GROUP BY ALL
+      UNION ALL
+      SELECT symbol, 'accepted', NULL, count(*) FROM rows_in
+      WHERE NOT ({" OR ".join(condition for _, condition in _GATE_RULES)}) GROUP BY ALL""",
+}

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.functions.scalars import infinite_to_zero, rounded
+from barlake.functions.scratch import scratch_path
 from barlake.functions.series import Series, warm_up
 from barlake.operators import (
     contracts,
@@ -29,6 +30,9 @@ from barlake.operators import (
 )
 from barlake.schemas import BASELINE_FEATURES, FEATURES, TARGET
 from barlake.sources import market, sinks, tables
+from barlake.streaming import bars as stream_bars
+from barlake.streaming import features as stream_features
+from barlake.streaming import gate, runs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -948,3 +952,62 @@ def train_rf_facts(spark, d):
         F.bool_and(up.between(0, 1)).alias("probabilities_in_range"),
         F.bool_and((up > 0.5).cast("int") == F.col("predicted_target")).alias("predictions_follow"),
     )
+
+
+# --- streams: the tables arrive in batches by time; every batch restarts the query ---------
+
+BATCHES = 3
+
+
+def _arriving(rows: DataFrame, time: str, start: Callable[[DataFrame], object]) -> None:
+    """Append ``rows`` to a folder in batches by ``time`` and run the stream after each."""
+    spark, folder = rows.sparkSession, scratch_path(rows.sparkSession, "arriving")
+    at = runs.micros(time)
+    shares = F.array(*[F.lit(i / BATCHES) for i in range(1, BATCHES)])
+    (cuts,) = rows.agg(F.percentile_approx(at, shares)).first()
+    batch = sum(((at > c).cast("int") for c in cuts or []), F.lit(0))
+    for number in range(BATCHES):
+        rows.where(batch == number).write.mode("append").parquet(folder)
+        start(spark.readStream.schema(rows.schema).parquet(folder)).awaitTermination()
+
+
+@query
+def stream_event_bars(spark, d):
+    """Hourly bars of purchases that arrive in batches."""
+    events = tables.table(spark, d, "events").where(F.col("event_type") == "purchase")
+    trades = events.select(
+        F.concat(F.lit("ALL"), F.left("event_type", F.lit(0))).alias("symbol"),
+        "ts",
+        F.col("event_id").alias("trade"),
+        (F.col("value") + tables.FIRST_EVENT_PRICE).alias("price"),
+        F.lit(1).alias("volume"),
+    )
+    out, checkpoint = scratch_path(spark, "stream-bars"), scratch_path(spark, "stream-bars-state")
+    _arriving(
+        trades,
+        "ts",
+        lambda rows: stream_bars.start_bars(stream_bars.tumbling_bars(rows), out, "event_bars", checkpoint),
+    )
+    return stream_bars.latest_bars(spark, out)
+
+
+@query
+def stream_market_features(spark, d):
+    """Features of daily bars that arrive in batches."""
+    out, checkpoint = scratch_path(spark, "stream-features"), scratch_path(spark, "stream-features-state")
+    bars = tables.line_bars(spark, d).select(*KEYS, "Close", "Volume")
+    _arriving(bars, "Date", lambda rows: stream_features.start_features(rows, out, checkpoint=checkpoint))
+    return spark.read.schema(f"symbol string, Date date, {', '.join(f'{f} double' for f in FEATURES)}, {TARGET} int").parquet(out)
+
+
+@query
+def stream_contract_gate(spark, d):
+    """Order lines that arrive in batches, judged by the raw contract: rows by side and rule."""
+    out, checkpoint = scratch_path(spark, "gate"), scratch_path(spark, "gate-state")
+    rules = contracts.raw_contract()
+    _arriving(tables.line_rows(spark, d), "Date", lambda rows: gate.start_gate(rows, rules, out, checkpoint=checkpoint))
+    sides = [
+        gate.read_side(spark, out, side).select("symbol", F.lit(side).alias("side"), F.explode_outer(gate.FAILED).alias("rule"))
+        for side in (gate.ACCEPTED, gate.QUARANTINE)
+    ]
+    return sides[0].unionByName(sides[1]).groupBy("symbol", "side", "rule").agg(F.count("*").alias("rows"))

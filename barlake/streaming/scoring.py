@@ -10,15 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from barlake.operators.models import LinearModel, score
-from barlake.schemas import DataContractError
-
-
-def checkpoint_location(requests: DataFrame, name: str) -> str:
-    """A folder for ``name`` below the shared folder the cluster names."""
-    root = requests.sparkSession.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        raise DataContractError("spark.checkpoint.dir must name a shared folder")
-    return f"{root.rstrip('/')}/{name}"
+from barlake.streaming.runs import checkpoint_location
 
 
 def start_scoring(
