@@ -80,7 +80,8 @@ def running_totals(
 
     ``counts`` maps names to row-level numbers, not negative, that are summed.
     Each name ``c`` yields ``c`` (at this value), ``c_before`` (strictly smaller
-    values) and ``c_total``; ``next_value`` is the next larger value or NULL.
+    values), ``c_total`` and ``c_lower`` (at the next smaller value); ``next_value`` is the
+    next larger value. Both are NULL where there is none.
     Missing values and values that count for nothing are left out. Repeated values
     collapse before the shuffle, so a hot value costs one row.
     """
@@ -100,12 +101,17 @@ def running_totals(
     before = in_order.rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         rows.groupBy(*where)
-        .agg(F.min(col(value)).alias("_first"), *[F.sum(n).alias(f"_{n}") for n in names])
+        .agg(
+            F.min(col(value)).alias("_first"),
+            *[F.sum(n).alias(f"_{n}") for n in names],
+            *[F.max_by(n, col(value)).alias(f"_{n}_last") for n in names],
+        )
         .select(
             *where,
             F.lead("_first").over(in_order).alias("_next_first"),
             *[F.coalesce(F.sum(f"_{n}").over(before), F.lit(0)).alias(f"_{n}_offset") for n in names],
             *[F.sum(f"_{n}").over(by_key).alias(f"{n}_total") for n in names],
+            *[F.lag(f"_{n}_last").over(in_order).alias(f"_{n}_last") for n in names],
         )
     )
     inside = Window.partitionBy(*where).orderBy(value)
@@ -114,6 +120,7 @@ def running_totals(
         "*",
         F.lead(col(value)).over(inside).alias("_next"),
         *[F.coalesce(F.sum(n).over(inside_before), F.lit(0)).alias(f"_{n}_local") for n in names],
+        *[F.lag(n).over(inside).alias(f"_{n}_lower") for n in names],
     )
     return join_nullsafe(local, offsets, where).select(
         *keys,
@@ -122,6 +129,7 @@ def running_totals(
         *names,
         *[(F.col(f"_{n}_offset") + F.col(f"_{n}_local")).alias(f"{n}_before") for n in names],
         *[f"{n}_total" for n in names],
+        *[F.coalesce(f"_{n}_lower", f"_{n}_last").alias(f"{n}_lower") for n in names],
     )
 
 

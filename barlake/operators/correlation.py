@@ -70,6 +70,40 @@ def _complete_correlations(
     return both.select(*[share(i, a, b).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
 
 
+def pairwise_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Every ordered pair of ``columns`` with its correlation over the rows that have both.
+
+    For many columns with missing cells. A row becomes one small row a pair that it has both
+    values of, which is combined at once: each task sends one row a pair, and the generated
+    code does not grow with the pairs. Pairs no row has both values of have no correlation.
+    """
+    n = len(columns)
+    cells = df.select(F.array(*[col(c).cast("double") for c in columns]).alias("_v"))
+    held = F.filter(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.get("_v", i).isNotNull())
+    pairs = F.flatten(
+        F.transform(
+            "_held",
+            lambda i: F.transform(
+                F.filter("_held", lambda j: j >= i),
+                lambda j: F.struct(i.alias("_i"), j.alias("_j"), F.get("_v", i).alias("_x"), F.get("_v", j).alias("_y")),
+            ),
+        )
+    )
+    moments = (
+        cells.withColumn("_held", held)
+        .select(F.inline(pairs))
+        .groupBy("_i", "_j")
+        .agg(F.covar_pop("_x", "_y").alias("_c"), F.var_pop("_x").alias("_vx"), F.var_pop("_y").alias("_vy"))
+        .select("_i", "_j", F.expr("try_divide(_c, sqrt(_vx * _vy))").alias("correlation"))
+    )
+    names = F.array(*[F.lit(c) for c in columns])
+    every = df.sparkSession.range(n * n).select((F.col("id") % n).cast("int").alias("_a"), F.floor(F.col("id") / n).cast("int").alias("_b"))
+    keyed = every.withColumns({"_i": F.least("_a", "_b"), "_j": F.greatest("_a", "_b")})
+    return keyed.join(moments, ["_i", "_j"], "left").select(
+        F.get(names, F.col("_a")).alias("feature_a"), F.get(names, F.col("_b")).alias("feature_b"), "correlation"
+    )
+
+
 def target_correlation(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     """Correlation of every column but the target itself with the target."""
     others = [c for c in columns if c != target]

@@ -92,9 +92,18 @@ def roc_auc(scored: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
     return _class_totals(scored, by).groupBy(*by).agg(*sums).select(*by, area)
 
 
-def roc_curve(scored: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
-    """(fpr, tpr) at every distinct score, plus the (0, 0) start without threshold."""
+def roc_curve(scored: DataFrame, by: Sequence[str] = ("model",), corners_only: bool = False) -> DataFrame:
+    """(fpr, tpr) at every distinct score, plus the (0, 0) start without threshold.
+
+    ``corners_only`` leaves out points from which the curve goes on as it came: those that
+    add as many rows of each class as the next lower score does. The points of the highest
+    and the lowest score stay, and the area is the same.
+    """
     totals = _class_totals(scored, by)
+    if corners_only:
+        ends = F.col("next_value").isNull() | F.col("pos_lower").isNull()
+        turns = (F.col("pos") != F.col("pos_lower")) | (F.col("neg") != F.col("neg_lower"))
+        totals = totals.where(ends | turns)
 
     def rate(kind: str) -> Column:
         at_or_above = F.col(f"{kind}_total") - F.col(f"{kind}_before")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from barlake.operators.metrics import value_counts
@@ -52,6 +54,24 @@ def checked_overlay(bars: DataFrame, predictions: DataFrame) -> DataFrame:
     return joined
 
 
+def write_overlay(bars: DataFrame, predictions: DataFrame, write: Callable[[DataFrame], None]) -> None:
+    """Let ``write`` write the overlay, then raise as :func:`checked_overlay` if it is not one to one.
+
+    Repeated keys on either side, predictions without bar and wrong classes are counted while
+    the rows are written. Only if something was counted do further jobs run, to name it.
+    ``write`` must run exactly one action over all rows of what it is given.
+    """
+    require_columns(predictions, [*KEYS, "predicted_target"], "Prediction data")
+    found_bars, found = Observation(), Observation()
+    closes = close_series(bars).groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_bars"), F.max("Close").alias("Close"))
+    closes = closes.observe(found_bars, F.count_if(F.col("_bars") > 1).alias("repeated")).drop("_bars")
+    joined = predictions.withColumn("_times", F.count(F.lit(1)).over(Window.partitionBy(*KEYS))).join(closes, KEYS, "left")
+    broken = (F.col("_times") > 1) | F.col("Close").isNull() | ~F.col("predicted_target").isin(0, 1)
+    write(joined.observe(found, F.count_if(broken).alias("broken")).drop("_times"))
+    if found_bars.get["repeated"] or found.get["broken"]:
+        checked_overlay(bars, predictions)
+
+
 def predictions_in_range(predictions: DataFrame, start: str, end: str) -> DataFrame:
     """Predictions whose date can be parsed and lies in the closed range."""
     return coerce(predictions, {"Date": "date"}).where(

@@ -16,6 +16,7 @@ from barlake.plans.queries import (
     RANGE_END,
     RANGE_START,
     UPSERT_FROM,
+    WINDOW_MINUTES,
 )
 from barlake.operators.features import WIDE_FEATURES
 from barlake.schemas import BASELINE_FEATURES, FEATURES, METRICS, NEWS_FEATURES, PRICE_COLUMNS, TARGET
@@ -988,3 +989,37 @@ ORACLES |= {
       SELECT symbol, 'accepted', NULL, count(*) FROM rows_in
       WHERE NOT ({" OR ".join(condition for _, condition in _GATE_RULES)}) GROUP BY ALL""",
 }
+
+_WINDOWS = f"""
+      SELECT s.symbol, event_id AS interval_id, ts - INTERVAL {WINDOW_MINUTES} MINUTE AS t0, ts AS t1
+      FROM events, (VALUES ('view'), ('error'), ('click')) AS s(symbol) WHERE event_type = 'purchase'"""
+_TICK_ROWS = "SELECT event_type AS symbol, ts AS Date, event_id FROM events"
+_COVERED = f"""
+      SELECT r.symbol, Date, event_id, interval_id FROM ({_TICK_ROWS}) r LEFT JOIN ({_WINDOWS}) w
+      ON r.symbol = w.symbol AND Date >= t0 AND Date < t1"""
+
+ORACLES |= {
+    "tick_rows_inside": f"SELECT * FROM ({_COVERED}) WHERE interval_id IS NOT NULL",
+    "tick_rows_outside": f"SELECT symbol, Date, event_id FROM ({_COVERED}) WHERE interval_id IS NULL",
+    "tick_open_intervals": f"""
+      SELECT symbol, Date, event_id, count(interval_id) AS open_intervals FROM ({_COVERED}) GROUP BY ALL""",
+    "wide_correlation": f"""
+      WITH RECURSIVE {wide_ctes(LINE_BARS)},
+      cells AS MATERIALIZED ({" UNION ALL ".join(
+          f"SELECT symbol, Date, '{c}' AS f, {c} AS v FROM wide WHERE (dayofyear(Date) + {i}) % 7 <> 0"
+          for i, c in enumerate(WIDE_FEATURES))})
+      SELECT a.f AS feature_a, b.f AS feature_b,
+             round(covar_pop(a.v, b.v) / nullif(sqrt(var_pop(a.v) * var_pop(b.v)), 0), 6) AS correlation
+      FROM cells a JOIN cells b USING (symbol, Date) GROUP BY 1, 2""",
+    "feature_contract_while_writing": ORACLES["feature_contract"],
+    "raw_contract_while_writing": ORACLES["raw_contract_lines"],
+    "prediction_overlay_written": ORACLES["prediction_overlay"],
+    "roc_corners": f"""
+      WITH curve AS ({ORACLES["roc_curve"]}),
+      steps AS (
+        SELECT *, fpr - lag(fpr) OVER w AS f0, lead(fpr) OVER w - fpr AS f1, tpr - lag(tpr) OVER w AS t0,
+               lead(tpr) OVER w - tpr AS t1, lag(threshold) OVER w IS NULL AS first
+        FROM curve WINDOW w AS (PARTITION BY model ORDER BY threshold DESC NULLS FIRST))
+      SELECT model, threshold, fpr, tpr FROM steps
+      WHERE first OR f1 IS NULL OR abs(f0 - f1) > 3e-6 OR abs(t0 - t1) > 3e-6""",
+}

@@ -21,6 +21,7 @@ from barlake.operators import (
     events,
     explain,
     features,
+    intervals,
     metrics,
     models,
     quality,
@@ -47,6 +48,7 @@ EVENT_HOURS = [f"2024-01-{day:02d} 12:00:00" for day in (5, 9, 14, 20, 26)]
 CASE_START, CASE_END = "2024-01-08 00:00:00", "2024-01-19 23:00:00"
 RANGE_START, RANGE_END = "1997-01-01", "1998-12-31"
 UPSERT_FROM = "1998-01-01"
+RETURN_FLAGS = ["A", "N", "R"]
 DEEP_DRAWDOWN = -0.5
 FIXED_MODEL = models.LinearModel(
     coefficients=(0.35, -0.20, 0.15, -0.10, 0.25, -0.30, 0.05, 0.40),
@@ -117,8 +119,7 @@ def scan_event_bars(spark, d):
 @query
 def normalize_wide(spark, d):
     """A wide extract (one column per price and symbol) back to long bars."""
-    bars = tables.line_bars(spark, d)
-    symbols = sorted(r["symbol"] for r in bars.select("symbol").distinct().collect())
+    bars, symbols = tables.line_bars(spark, d), RETURN_FLAGS
     prices = [c for c in market.REQUIRED_COLUMNS if c != "Date"]
     wide = (
         bars.groupBy("Date")
@@ -1011,3 +1012,78 @@ def stream_contract_gate(spark, d):
         for side in (gate.ACCEPTED, gate.QUARANTINE)
     ]
     return sides[0].unionByName(sides[1]).groupBy("symbol", "side", "rule").agg(F.count("*").alias("rows"))
+
+
+# --- intervals, missing cells, checks while writing ----------------------------------------
+
+WINDOW_MINUTES = 25
+
+
+def _ticks_and_windows(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Every event, and for each symbol the time before each purchase: many intervals that overlap."""
+    ticks = tables.event_ticks(spark, d).select("symbol", "Date", "event_id")
+    ends = tables.table(spark, d, "events").where(F.col("event_type") == "purchase")
+    shown = F.array(*[F.lit(s) for s in ("view", "error", "click")])
+    windows = ends.select(
+        F.explode(shown).alias("symbol"),
+        F.col("event_id").alias("interval_id"),
+        F.expr(f"ts - INTERVAL '{WINDOW_MINUTES}' MINUTE").alias("start"),
+        F.col("ts").alias("end"),
+    )
+    return ticks, windows
+
+
+@query
+def tick_rows_inside(spark, d):
+    """Every tick with each interval that covers it."""
+    return intervals.rows_inside(*_ticks_and_windows(spark, d))
+
+
+@query
+def tick_rows_outside(spark, d):
+    return intervals.rows_outside(*_ticks_and_windows(spark, d))
+
+
+@query
+def tick_open_intervals(spark, d):
+    return intervals.open_intervals(*_ticks_and_windows(spark, d))
+
+
+@query
+def wide_correlation(spark, d):
+    """All 32 features against each other, a seventh of the cells missing."""
+    wide = features.market_features_wide(tables.line_bars(spark, d))
+    holes = [
+        F.when((F.dayofyear("Date") + i) % 7 != 0, F.col(c)).alias(c) for i, c in enumerate(features.WIDE_FEATURES)
+    ]
+    return correlation.pairwise_correlations(wide.select(*holes), features.WIDE_FEATURES)
+
+
+@query
+def roc_corners(spark, d):
+    return metrics.roc_curve(tables.scored_documents(spark, d), corners_only=True)
+
+
+@query
+def feature_contract_while_writing(spark, d):
+    """The feature contract, judged while the table is written."""
+    stored = _features(spark, d).withColumn(contracts.ROW_POSITION, F.unix_date("Date"))
+    folder = scratch_path(spark, "checked-features")
+    return contracts.evaluate_while_writing(stored, contracts.feature_contract(), lambda rows: rows.write.parquet(folder))
+
+
+@query
+def raw_contract_while_writing(spark, d):
+    """The raw contract on order lines, which break several rules, judged while they are written."""
+    folder = scratch_path(spark, "checked-lines")
+    return contracts.evaluate_while_writing(
+        tables.line_rows(spark, d), contracts.raw_contract(), lambda rows: rows.write.parquet(folder)
+    )
+
+
+@query
+def prediction_overlay_written(spark, d):
+    """The overlay as written, its one-to-one check part of the write."""
+    folder = scratch_path(spark, "overlay")
+    reports.write_overlay(tables.line_bars(spark, d), _predictions(spark, d), lambda rows: rows.write.parquet(folder))
+    return spark.read.parquet(folder)
