@@ -54,6 +54,16 @@ def row_numbers(
     )
 
 
+def draw_limit(wanted: int, rows: int) -> int:
+    """Largest 63-bit hash of a sample of about ``wanted`` of ``rows`` rows; see :func:`draw_hash`."""
+    return min((1 << 63) - 1, max((wanted << 63) // max(rows, 1), 1))
+
+
+def draw_hash(column: str) -> Column:
+    """A hash of 63 bits; rows whose hash is at most :func:`draw_limit` are the sample."""
+    return F.xxhash64(column).bitwiseAND((1 << 63) - 1)
+
+
 #: A key with more than this share of the rows is hot; there are at most 1 / HOT_SHARE of them.
 HOT_SHARE = 1e-3
 

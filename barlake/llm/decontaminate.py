@@ -7,8 +7,12 @@ common run of unmarked words is marked as a tile, again and again, down to runs
 Karp-Rabin) and checked word by word. The share of the item's words under tiles is
 its coverage, whatever order the passages stand in.
 
+Items of ``LEAST_ITEM`` words or more that are shorter than ``MATCH_WORDS`` are found where
+they stand in a document as they are.
+
 The benchmark is the query side: it is read in blocks of at most ``BLOCK_WORDS``
-words, and each block meets every document in one pass without a shuffle.
+words, and each block meets every document in one pass without a shuffle. Of several
+blocks each one's result is written before the next is sent.
 """
 
 from __future__ import annotations
@@ -19,9 +23,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barlake.functions.scratch import written
 from barlake.llm.common import (
     BASE,
     INVERSE,
@@ -35,6 +40,8 @@ from barlake.llm.common import (
 )
 
 MATCH_WORDS = 5
+#: Fewest words of an item; a single word is no passage.
+LEAST_ITEM = 2
 #: Share of an item's words under tiles from which a document counts as contaminated.
 COVERAGE = 0.5
 #: Words of the benchmark that one pass over the documents carries (bounds what is sent to tasks).
@@ -131,6 +138,13 @@ class Block:
         self.words = [w for _, w in items]
         self.seed_words = seed_words
         seeds = [gram_hashes(w, seed_words) for w in self.words]
+        # Short items by their number of words: (hash of the whole, position), sorted by hash.
+        self.short = {}
+        for n in sorted({len(w) for w in self.words if len(w) < seed_words}):
+            own = [k for k, w in enumerate(self.words) if len(w) == n]
+            whole = np.array([gram_hashes(self.words[k], n)[0] for k in own], np.uint64)
+            order = np.argsort(whole, kind="stable")
+            self.short[n] = whole[order], np.array(own)[order]
         owner = np.repeat(np.arange(len(items)), [len(s) for s in seeds])
         joined = np.concatenate(seeds) if seeds else np.zeros(0, np.uint64)
         pairs = np.unique(np.stack([joined, owner.astype(np.uint64)], axis=1), axis=0)
@@ -149,6 +163,9 @@ class Block:
     def coverages(self, doc: np.ndarray, grams: np.ndarray) -> list[tuple[int, int, int]]:
         """(item_id, words of the item under tiles, words of the item) of every candidate."""
         out = []
+        for n, (whole, own) in self.short.items():
+            here = np.isin(whole, gram_hashes(doc, n))
+            out += [(self.ids[k], n, n) for k in own[here].tolist()]
         for k in self.candidates(grams).tolist():
             tiles = tile(doc, self.words[k], self.seed_words)
             if tiles:
@@ -159,13 +176,13 @@ class Block:
 def blocks_of(benchmark: DataFrame, least: int = MATCH_WORDS, most: int = BLOCK_WORDS) -> Iterator[Block]:
     """The benchmark in blocks; the driver holds one block at a time.
 
-    Items without text or with fewer words than ``least`` cannot be found and are left out.
+    Items without text or with fewer than ``LEAST_ITEM`` words are left out.
     """
     items: list[tuple[int, np.ndarray]] = []
     held = 0
     for row in benchmark.select("item_id", "text").where("text is not null").toLocalIterator():
         words = word_hashes(row["text"])
-        if len(words) < least:
+        if len(words) < min(LEAST_ITEM, least):
             continue
         items.append((row["item_id"], words))
         held += len(words)
@@ -193,7 +210,11 @@ def matches_of(texts: list[str | None], block: Block) -> list[list[tuple[int, in
             hit = np.flatnonzero(block.seeds[low] == grams)
         else:
             hit = np.zeros(0, np.int64)
-        touched = set((np.searchsorted(cut, hit, "right") - 1).tolist())
+        hits = [hit]
+        for n, (whole, _) in block.short.items():
+            runs = gram_hashes(words, n)
+            hits.append(np.flatnonzero(np.isin(runs, whole)))
+        touched = set((np.searchsorted(cut, np.concatenate(hits), "right") - 1).tolist())
         for k in range(last - first):
             if k not in touched:
                 out.append([])
@@ -213,17 +234,36 @@ def find_leaks(
     empty table on either side gives no rows. Other columns are not read.
     """
     spark = docs.sparkSession
-    out: DataFrame | None = None
-    for block in blocks_of(benchmark, least, block_words):
-        sent = spark.sparkContext.broadcast(block)
+
+    def part(sent: Broadcast, so_far: DataFrame | None) -> DataFrame:
         pairs = F.pandas_udf(_pairs_by(sent, coverage), _PAIRS)("text")
-        part = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.inline(pairs))
-        out = part if out is None else out.unionByName(part)
+        found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.inline(pairs))
+        return found if so_far is None else so_far.unionByName(found)
+
+    out = _block_by_block(spark, blocks_of(benchmark, least, block_words), part, None)
     if out is None:
         out = spark.createDataFrame([], "doc_id long, item_id long, covered_words long, item_words long")
     return out.withColumn("coverage", F.col("covered_words") / F.col("item_words"))
 
 
+def _block_by_block(
+    spark: SparkSession, blocks: Iterator[Block], step: Callable, result: DataFrame | None
+) -> DataFrame | None:
+    """``result`` after ``step`` with each block; only one block is sent at a time.
+
+    A single block stays part of the plan. Of several, what a step gives is written and its
+    block released before the next one is read.
+    """
+    sent = None
+    for block in blocks:
+        if sent is not None:
+            result = written(result, "decontaminated")
+            sent.unpersist()
+        sent = spark.sparkContext.broadcast(block)
+        result = step(sent, result)
+    return result
+
+
 _PAIRS = "array<struct<item_id: bigint, covered_words: bigint, item_words: bigint>>"
 
 
@@ -244,11 +284,11 @@ def _pairs_by(sent: Broadcast, coverage: float) -> Callable[[pd.Series], pd.Seri
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, least: int = MATCH_WORDS, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` without the rows that :func:`find_leaks` reports, one pass a block, no shuffle."""
-    kept = docs
-    for block in blocks_of(benchmark, least, block_words):
-        sent = docs.sparkSession.sparkContext.broadcast(block)
-        kept = kept.where(F.pandas_udf(_clean_by(sent, coverage), "boolean")("text"))
-    return kept
+
+    def step(sent: Broadcast, kept: DataFrame) -> DataFrame:
+        return kept.where(F.pandas_udf(_clean_by(sent, coverage), "boolean")("text"))
+
+    return _block_by_block(docs.sparkSession, blocks_of(benchmark, least, block_words), step, docs)
 
 
 def _clean_by(sent: Broadcast, coverage: float) -> Callable[[pd.Series], pd.Series]:

@@ -17,7 +17,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barlake.llm.common import slices
+from barlake.llm.common import draw_hash, draw_limit, slices
 
 GRAMS, BUCKETS = (1, 2, 3), 4096
 #: Rows of one language the classifiers are fitted on at most (about; drawn by a hash of doc_id).
@@ -163,7 +163,8 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Decoder:
     """The decoder of the languages in ``lang``, from about ``train_rows`` rows of each.
 
-    Rows without lang, text or doc_id, and held-out rows, are not learnt from. The
+    Rows without lang, text or doc_id, and held-out rows, are not learnt from. Of codewords
+    that are equally near the language first in the alphabet is chosen. The
     driver receives the hashed features of the sample, never texts.
     """
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text").where(
@@ -173,17 +174,20 @@ def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Decoder:
     languages = sorted(counts)
     if not languages:
         return Decoder(np.zeros((0, BUCKETS), np.float32), np.zeros(0, int), [])
-    share = F.create_map(
-        *[F.lit(v) for lang in languages for v in (lang, int(1e6 * min(1.0, train_rows / counts[lang])))]
-    )
-    drawn = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share[F.col("lang")])
+    limit = F.create_map(*[F.lit(v) for lang in languages for v in (lang, draw_limit(train_rows, counts[lang]))])
+    drawn = known.where(draw_hash("doc_id") <= limit[F.col("lang")])
 
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             x = features(frame["text"].tolist()).astype(np.float16)
             yield pd.DataFrame({"doc_id": frame["doc_id"], "lang": frame["lang"], "x": [r.tobytes() for r in x]})
 
-    sample = drawn.mapInPandas(rows, "doc_id long, lang string, x binary").toPandas()
+    schema = "doc_id long, lang string, x binary"
+    sample = drawn.mapInPandas(rows, schema).toPandas()
+    # Few distinct ids may all miss the sample; no language is left without rows.
+    for lang in sorted(set(languages) - set(sample["lang"])):
+        least = known.where(F.col("lang") == lang).orderBy(draw_hash("doc_id"), F.xxhash64("text")).limit(train_rows)
+        sample = pd.concat([sample, least.mapInPandas(rows, schema).toPandas()], ignore_index=True)
     sample = sample.sort_values(["doc_id", "lang", "x"], ignore_index=True)
     place = {lang: i for i, lang in enumerate(languages)}
     y = sample["lang"].map(place).to_numpy(int)

@@ -2,11 +2,17 @@
 
 The counts of a document give a vector of transformed statistics. Location and
 scatter of each group are minimum-covariance-determinant estimates over all its
-rows: from medians and quartiles, concentration steps refit mean and covariance on
-the three quarters of the rows that are closest. A step is one aggregation: rows
+rows: concentration steps refit mean and covariance on the three quarters of the rows
+that are closest, until nothing moves by more than ``STILL`` (at most ``STEPS`` times).
+They start from medians and quartiles, and again from the plain mean and covariance; of
+the two ends that with the smaller determinant counts. A step is one aggregation: rows
 are counted and summed by group and distance bin (map-side combined, so a hot
 group costs tasks * bins rows), and a small table decides how many bins make up
-the share. A document is rejected if its Mahalanobis distance is beyond ``CUT``.
+the share. The parameters (a row a group) go to the rows by broadcast, so rows are never
+dealt by group. A document is rejected if its Mahalanobis distance is beyond ``CUT``.
+
+Quartiles are approximate and sums floating: verdicts of rows within rounding of the cut
+may depend on partitions.
 """
 
 from __future__ import annotations
@@ -23,9 +29,11 @@ from barlake.llm.common import SPACE, gram_hashes, slices, span_hashes, word_spa
 #: Share of the rows a concentration step keeps, and the factor that makes its scatter
 #: that of a normal distribution of ``len(FLOORS)`` dimensions: 0.75 / P(chi2(7) <= 6.63).
 SHARE, CONSISTENT = 0.75, 1.41
-STEPS = 5
+STEPS, STILL = 12, 1e-3
+#: Groups whose parameters are broadcast; more are joined by salted keys.
+BROADCAST_GROUPS, _SALTS = 100_000, 64
 #: Groups with fewer rows share the estimate of their language, then of all such rows.
-LEAST_ROWS = 200
+LEAST_ROWS = 50
 #: Smallest standard deviations (log mean word length, then square roots of the shares of
 #: symbols, repeated lines, repeated words and capitals): statistics that are nearly
 #: constant in a group must not make every deviation an outlier.
@@ -122,7 +130,7 @@ _X = [f"x{i}" for i in range(_P)]
 _CENTRE = [f"m{i}" for i in range(_P)]
 _PAIRS = [(i, j) for i in range(_P) for j in range(i, _P)]
 _PRECISION = [f"w{i}{j}" for i, j in _PAIRS]
-_PARAMETERS = ", ".join(["grp string", *[f"{n} double" for n in (*_CENTRE, *_PRECISION)]])
+_PARAMETERS = ", ".join(["grp string", *[f"{n} double" for n in ("det", *_CENTRE, *_PRECISION)]])
 
 
 def distance() -> Column:
@@ -146,7 +154,16 @@ def _grouped(rows: DataFrame, least_rows: int) -> DataFrame:
         .otherwise("all")
         .alias("grp"),
     )
-    return rows.join(names, "__pair").drop("__lang", "__pair")
+    return _with_groups(rows, written(names, "groups"), "__pair").drop("__lang", "__pair")
+
+
+def _with_groups(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the columns of a written table of one row a ``key``; no key's rows meet in one task."""
+    if table.count() <= BROADCAST_GROUPS:
+        return rows.join(F.broadcast(table), key)
+    salted = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    dealt = rows.withColumn("__salt", F.pmod(F.xxhash64("doc_id", *_X), F.lit(_SALTS)).cast("int"))
+    return dealt.join(salted, [key, "__salt"]).drop("__salt")
 
 
 def _first_parameters(rows: DataFrame) -> DataFrame:
@@ -159,6 +176,7 @@ def _first_parameters(rows: DataFrame) -> DataFrame:
     ]
     return quartiles.select(
         "grp",
+        F.lit(0.0).alias("det"),
         *[F.col(x)[1].alias(m) for x, m in zip(_X, _CENTRE)],
         *[
             (1 / (spread[i] * spread[i]) if i == j else F.lit(0.0)).alias(f"w{i}{j}")
@@ -179,8 +197,9 @@ def _refit(bins: pd.DataFrame) -> pd.DataFrame:
         cov[i, j] = cov[j, i] = bins[f"s{i}{j}"].to_numpy()[inside].sum() / total - mean[i] * mean[j]
     cov *= CONSISTENT
     lift = np.maximum(np.square(FLOORS) - np.diag(cov), 0)
-    precision = np.linalg.inv(cov + np.diag(lift) + 1e-9 * np.eye(_P))
-    row = {"grp": bins["grp"].iloc[0]}
+    scatter = cov + np.diag(lift) + 1e-9 * np.eye(_P)
+    precision = np.linalg.inv(scatter)
+    row = {"grp": bins["grp"].iloc[0], "det": np.linalg.slogdet(scatter)[1]}
     row |= {m: mean[i] for i, m in enumerate(_CENTRE)}
     row |= {f"w{i}{j}": precision[i, j] for i, j in _PAIRS}
     return pd.DataFrame([row])
@@ -189,7 +208,7 @@ def _refit(bins: pd.DataFrame) -> pd.DataFrame:
 def _concentrate(rows: DataFrame, parameters: DataFrame) -> DataFrame:
     at = F.least(F.floor(F.log2(1 + 16 * F.col("__d")) * 16), F.lit(_BINS - 1)).cast("int")
     sums = (
-        rows.join(parameters, "grp")
+        _with_groups(rows, parameters, "grp")
         .withColumn("__d", distance())
         .groupBy("grp", at.alias("bin"))
         .agg(
@@ -201,6 +220,18 @@ def _concentrate(rows: DataFrame, parameters: DataFrame) -> DataFrame:
     return written(sums.groupBy("grp").applyInPandas(_refit, _PARAMETERS), "scatter")
 
 
+def _settled(rows: DataFrame, parameters: DataFrame) -> DataFrame:
+    """Concentration steps until no centre moves by ``STILL`` of its least deviation and no determinant by ``STILL``."""
+    for _ in range(STEPS):
+        before, parameters = parameters, _concentrate(rows, parameters)
+        old = before.select("grp", *[F.col(n).alias(f"__{n}") for n in ("det", *_CENTRE)])
+        moves = [F.abs(F.col(m) - F.col(f"__{m}")) / floor for m, floor in zip(_CENTRE, FLOORS)]
+        moved = F.greatest(F.abs(F.col("det") - F.col("__det")), *moves)
+        if not (parameters.join(old, "grp").agg(F.max(moved)).first()[0] or 0.0) > STILL:
+            break
+    return parameters
+
+
 def judge(docs: DataFrame, least_rows: int = LEAST_ROWS, cut: float = CUT) -> DataFrame:
     """doc_id, counts, base_failed, distance and kept of every row of ``docs``.
 
@@ -216,11 +247,17 @@ def judge(docs: DataFrame, least_rows: int = LEAST_ROWS, cut: float = CUT) -> Da
     )
     judged = counted.where("not base_failed")
     rows = written(_grouped(judged, least_rows), "judged")
-    parameters = written(_first_parameters(rows), "scatter")
-    for _ in range(STEPS):
-        parameters = _concentrate(rows, parameters)
+    robust = _settled(rows, written(_first_parameters(rows), "scatter"))
+    # With precision 0 every row is near: the first step gives the plain mean and covariance.
+    flat = rows.select("grp").distinct().select(
+        "grp", *[F.lit(0.0).alias(n) for n in ("det", *_CENTRE, *_PRECISION)]
+    )
+    plain = _settled(rows, written(flat, "scatter"))
+    both = robust.withColumn("__start", F.lit(0)).unionByName(plain.withColumn("__start", F.lit(1)))
+    names = [c for c in robust.columns if c != "grp"]
+    parameters = both.groupBy("grp").agg(F.min(F.struct("det", "__start", *names[1:])).alias("p")).select("grp", *[f"p.{n}" for n in names])
     columns = ["doc_id", *COUNTS, "base_failed"]
-    near = rows.join(parameters, "grp").select(*columns, distance().alias("distance"))
+    near = _with_groups(rows, written(parameters, "scatter"), "grp").select(*columns, distance().alias("distance"))
     short = counted.where("base_failed").select(*columns, F.lit(None).cast("double").alias("distance"))
     return near.unionByName(short).withColumn(
         "kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= cut, F.lit(False))

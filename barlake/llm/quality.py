@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barlake.llm.common import mix, slices, span_hashes
+from barlake.llm.common import draw_hash, draw_limit, mix, slices, span_hashes
 
 WORDS, DIM = 4096, 48
 #: Non-zero entries of an index vector, and neighbours to either side that count.
@@ -241,8 +241,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tup
         .groupBy("doc_id")
         .agg((F.avg("quality") >= 0.5).cast("int").alias("__label"))
     )
-    share = min(1.0, train_rows / max(known.count(), 1))
-    drawn = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    drawn = known.where(draw_hash("doc_id") <= draw_limit(train_rows, known.count()))
     sent = docs.sparkSession.sparkContext.broadcast(vectors)
 
     def features(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -44,6 +44,8 @@ CHUNK_BYTES, DIGIT_BYTES, RUN_BYTES, BUCKET_BYTES = 1 << 20, 8 << 20, 4 << 20, 1
 #: Runs of one digit that may meet in one task.
 HOT_RUNS = 4096
 _DIGIT_BITS = 48
+#: Spark allows 100,000 buckets; beyond, each holds more chunks.
+MOST_BUCKETS = 50_000
 #: Stands for a missing doc_id: no document counts as smaller because of it.
 _LAST = np.iinfo(np.int64).max
 
@@ -118,10 +120,15 @@ class Runs:
         self.doc = np.searchsorted(ends, self.first, "right")
 
 
-def _parts(sorted_digits: np.ndarray, parts: int) -> np.ndarray:
-    """Edges of the parts of equal digit range in sorted digits."""
-    edges = [(i << _DIGIT_BITS) // parts for i in range(parts + 1)]
-    return np.searchsorted(sorted_digits, np.array(edges, np.uint64))
+def _parts(sorted_digits: np.ndarray, parts: int) -> dict[int, tuple[int, int]]:
+    """Where the parts of equal digit range that occur begin and end in sorted digits."""
+    half = np.uint64(_DIGIT_BITS // 2)
+    many = np.uint64(parts)
+    # digit * parts >> 48 in two halves, as the product has more than 64 bits.
+    low = (sorted_digits & np.uint64((1 << _DIGIT_BITS // 2) - 1)) * many >> half
+    part = ((sorted_digits >> half) * many + low) >> half
+    found, first = np.unique(part, return_index=True)
+    return dict(zip(found.tolist(), zip(first.tolist(), [*first[1:].tolist(), len(part)])))
 
 
 def _packed(digits: np.ndarray) -> bytes:
@@ -150,13 +157,12 @@ def _reports(parts: int):
             for row in frame.itertuples():
                 data, sizes, _ = _opened(row)
                 digits, counts = np.unique(Runs(data, sizes).digit, return_counts=True)
-                edges = _parts(digits, parts)
                 rows = []
-                for part in np.flatnonzero(np.diff(edges)):
-                    own = slice(edges[part], edges[part + 1])
+                for part, (a, b) in _parts(digits, parts).items():
+                    own = slice(a, b)
                     more = np.flatnonzero(counts[own] > 1)
                     extra = np.stack([more, counts[own][more] - 1], axis=1).astype("<u4")
-                    rows.append((int(part), row.chunk, _packed(digits[own]), extra.tobytes()))
+                    rows.append((part, row.chunk, _packed(digits[own]), extra.tobytes()))
                 yield pd.DataFrame(rows, columns=["part", "chunk", "digits", "more"])
 
     return report
@@ -199,7 +205,7 @@ def _sent_runs(digit_parts: int, run_parts: int):
                 edges = _parts(digits, digit_parts)
                 repeated, hot = np.zeros(len(digits), bool), np.zeros(len(digits), bool)
                 for answer in row.answers if row.answers is not None else ():
-                    a, b = edges[answer["part"]], edges[answer["part"] + 1]
+                    a, b = edges[answer["part"]]
                     bits = np.frombuffer(answer["flags"], np.uint8).reshape(2, -1)
                     repeated[a:b], hot[a:b] = np.unpackbits(bits, axis=1)[:, : b - a]
                 # Digits that two documents of this very chunk share.
@@ -230,16 +236,15 @@ def _sent_runs(digit_parts: int, run_parts: int):
                     windows = np.concatenate([windows, np.ones(len(at), np.int64)])
                     owner, digit = np.concatenate([owner, who]), np.concatenate([digit, key])
                 order = np.argsort(digit, kind="stable")
-                edges = _parts(digit[order], run_parts)
                 rows = []
-                for part in np.flatnonzero(np.diff(edges)):
-                    own = order[edges[part] : edges[part + 1]]
+                for part, (a, b) in _parts(digit[order], run_parts).items():
+                    own = order[a:b]
                     bytes_at = _stretches(first[own], windows[own] + WINDOW - 1)
                     # What this chunk has settled itself rides along with its first part.
                     settled = gone if not rows else gone[:0]
                     rows.append(
                         (
-                            int(part),
+                            part,
                             row.chunk,
                             first[own].astype("<u4").tobytes(),
                             windows[own].astype("<u4").tobytes(),
@@ -372,10 +377,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         .option("path", f"{shared_dir(spark)}/barlake/{name}")
         .option("compression", "zstd")
         # Fewer buckets than shuffle partitions would be shuffled after all.
-        .bucketBy(max(parts(BUCKET_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions"))), "chunk")
+        .bucketBy(min(max(parts(BUCKET_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions"))), MOST_BUCKETS), "chunk")
         .saveAsTable(name)
     )
     chunks = spark.table(name)
+    # The plan holds the files; the catalogue need not keep their name.
+    spark.sql(f"DROP TABLE {name}")
     digit_parts, run_parts = parts(DIGIT_BYTES), parts(RUN_BYTES)
     answers = (
         chunks.select("chunk", "ids", "sizes", "data")

@@ -81,3 +81,17 @@ def test_odd_tables(clashing, empty, spark):
     assert d.find_leaks(empty, bench).count() == 0
     assert d.find_leaks(clashing, bench.limit(0)).count() == 0
     assert d.drop_leaks(clashing, bench.limit(0)).count() == len(awkward_rows())
+
+
+def test_short_items_and_several_blocks(spark):
+    items = [(1, "Hello there"), (2, "one"), (3, "four words stand here"), (4, " ".join(f"w{i}" for i in range(12))), (5, None), (6, "there world")]
+    docs = [(1, "he said hello THERE world"), (2, "one two"), (3, "hello"), (4, "four words stand"), (5, "x four words stand here y"),
+            (6, " ".join(f"w{i}" for i in range(3, 12))), (7, "hello"), (8, "there")]
+    items = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    want = {(1, 1, 2, 2), (1, 6, 2, 2), (5, 3, 4, 4), (6, 4, 9, 12)}
+    for block_words in (1_000_000, 5, 1):
+        found = d.find_leaks(docs, items, block_words=block_words).collect()
+        assert {(r["doc_id"], r["item_id"], r["covered_words"], r["item_words"]) for r in found} == want and len(found) == 4
+        kept = d.drop_leaks(docs, items, block_words=block_words)
+        assert sorted(r["doc_id"] for r in kept.collect()) == [2, 3, 4, 7, 8]

@@ -48,3 +48,26 @@ def test_odd_tables(awkward, clashing, empty):
     assert langid.identify(empty).count() == 0
     no_labels = awkward.drop("lang").selectExpr("*", "CAST(NULL AS string) AS lang")
     assert {r["lang_pred"] for r in langid.identify(no_labels).collect()} == {"und"}
+
+
+def test_samples_of_any_size_are_not_empty():
+    from barlake.llm.common import draw_limit
+
+    top = 1 << 63
+    assert draw_limit(800, 100) == draw_limit(800, 0) == top - 1
+    for rows in (10**9, 10**11, 10**15):
+        assert abs(draw_limit(800, rows) / top * rows - 800) < 1
+
+
+def test_a_language_whose_ids_miss_the_sample_is_learnt(spark):
+    from pyspark.sql import functions as F
+
+    from barlake.llm.common import draw_hash, draw_limit
+
+    ids = spark.range(5000).where(~langid.held_out(F.col("id"))).where(draw_hash("id") > draw_limit(5, 50)).limit(1)
+    (one,) = [r["id"] for r in ids.collect()]
+    rows = [(one, f"le chat numero {i} dort", "fr") for i in range(50)] + [(i, f"the cat {i} sleeps", "en") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert set(langid.fit(docs, train_rows=5).languages) == {"en", "fr"}
+    found = {r["lang_pred"] for r in langid.identify(docs, train_rows=5).collect()}
+    assert found == {"en", "fr"}

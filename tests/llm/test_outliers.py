@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -81,3 +82,55 @@ def test_words_parted_by_bars_go(spark):
     found = outliers.judge(docs).toPandas()
     bars = found[(found["doc_id"] >= 2000) & ~found["base_failed"]]
     assert len(bars) and bars["distance"].min() < 41 and not bars["kept"].any()
+
+
+def settled(x, steps=outliers.STEPS):
+    """Squared distances by a plain version of the estimate, from both starts."""
+    ends = []
+    for start in ("robust", "plain"):
+        if start == "robust":
+            low, mid, high = np.quantile(x, [0.25, 0.5, 0.75], axis=0, method="inverted_cdf")
+            mean, precision = mid, np.diag(1 / np.maximum((high - low) / 1.349, outliers.FLOORS) ** 2)
+        else:
+            mean, precision = np.zeros(5), np.zeros((5, 5))
+        det = 0.0
+        for _ in range(steps):
+            d = np.maximum(np.einsum("ij,jk,ik->i", x - mean, precision, x - mean), 0)
+            at = np.minimum(np.floor(np.log2(1 + 16 * d) * 16), 255)
+            inside = x[at <= np.sort(at)[int(np.ceil(0.75 * len(x))) - 1]]
+            cov = np.cov(inside.T, bias=True) * outliers.CONSISTENT
+            cov += np.diag(np.maximum(np.square(outliers.FLOORS) - np.diag(cov), 0)) + 1e-9 * np.eye(5)
+            before, mean = (mean, det), inside.mean(axis=0)
+            precision, det = np.linalg.inv(cov), np.linalg.slogdet(cov)[1]
+            if max(abs(det - before[1]), *(np.abs(mean - before[0]) / outliers.FLOORS)) <= outliers.STILL:
+                break
+        ends.append((det, start == "plain", mean, precision))
+    _, _, mean, precision = min(ends, key=lambda e: e[:2])
+    return np.maximum(np.einsum("ij,jk,ik->i", x - mean, precision, x - mean), 0)
+
+
+def test_distances_equal_a_plain_estimate_of_each_group(spark):
+    """Groups of 60 rows have estimates of their own; one of 20 shares that of its language's small ones."""
+    rng = random.Random(3)
+
+    def text(i, loud):
+        words = prose(i, 70 + i % 60).split()
+        return " ".join(w.upper() if rng.random() < loud else w for w in words)
+
+    sizes = {("en", "a"): (60, 0.0), ("en", "b"): (80, 0.5), ("de", "a"): (20, 0.1), ("de", None): (40, 0.1)}
+    rows, group = [], []
+    for (lang, source), (n, loud) in sizes.items():
+        for _ in range(n):
+            rows.append((len(rows), text(len(rows), loud), lang, source))
+            group.append((lang, source) if n >= 50 else lang)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    found = outliers.judge(docs).toPandas().sort_values("doc_id").reset_index(drop=True)
+    c = found[list(outliers.COUNTS)].astype(float)
+    x = np.stack([
+        np.log(c["word_chars"] / c["n_words"]), np.sqrt(c["n_symbols"] / c["word_chars"]), np.sqrt(c["n_dup_lines"] / c["n_lines"]),
+        np.sqrt(c["n_repeat_words"] / c["n_words"]), np.sqrt(c["n_capitals"] / c["word_chars"]),
+    ], axis=1)
+    assert not found["base_failed"].any()
+    for name in set(group):
+        mine = np.array([g == name for g in group])
+        np.testing.assert_allclose(found["distance"][mine], settled(x[mine]), rtol=1e-4, atol=1e-4)

@@ -1,5 +1,6 @@
 import hashlib
 
+import numpy as np
 import pytest
 
 from barlake.llm import suffix_dedup as s
@@ -54,3 +55,23 @@ def test_common_passages_and_periods_in_one_or_many_chunks(spark, monkeypatch, h
 
 def test_empty_table(empty):
     assert got(empty) == []
+
+
+def test_parts_of_many():
+    import time
+
+    digits = np.unique(np.random.default_rng(1).integers(0, 1 << 48, 5000).astype(np.uint64))
+    for parts in (1, 7, 10**7):
+        began = time.perf_counter()
+        found = s._parts(digits, parts)
+        assert time.perf_counter() - began < 1
+        for part, (a, b) in found.items():
+            assert all(int(d) * parts >> 48 == part for d in digits[a:b])
+        assert sum(b - a for a, b in found.values()) == len(digits)
+    assert s._parts(digits[:0], 5) == {}
+
+
+def test_no_table_stays_in_the_catalogue(spark, awkward):
+    before = {t.name for t in spark.catalog.listTables()}
+    assert s.remove_repeats(awkward).count() == awkward.count()
+    assert {t.name for t in spark.catalog.listTables()} == before
