@@ -241,14 +241,18 @@ ORACLES: dict[str, str] = {
       files AS (
         SELECT doc_id, coalesce(source, '_') || '/' || coalesce(lang, '_') AS dir, text FROM documents),
       cut AS (
-        SELECT doc_id, dir, list_filter(list_transform(
+        SELECT doc_id, dir, text, list_filter(list_transform(
                  string_split(regexp_replace(text, '([.!?])[ \t]+', '\1' || chr(10), 'g'), chr(10)),
                  lambda s: lower(trim(s))), lambda s: s <> '') AS sentences
         FROM files WHERE regexp_matches(lower(text), '{licenses.CUES}')),
       stated AS (
-        SELECT doc_id, dir, len(sentences) AS total, sentence
+        SELECT doc_id, dir, len(sentences) AS total, sentence, true AS spoken
         FROM (SELECT *, unnest(sentences) AS sentence FROM cut)
-        WHERE regexp_matches(sentence, '{licenses.CUES}')),
+        WHERE regexp_matches(sentence, '{licenses.CUES}')
+        UNION ALL
+        SELECT doc_id, dir, total, header, false
+        FROM (SELECT doc_id, dir, len(sentences) AS total, lower(regexp_split_to_array(text, '\\n[ \\t\\r]*\\n')[1]) AS header FROM cut)
+        WHERE regexp_matches(header, '{licenses.CUES}')),
       vectors AS (
         SELECT sentence, token, n * coalesce(idf, ln(1.0 + {len(licenses.TEMPLATES)}) + 1) AS w
         FROM (SELECT sentence, token, count(*) AS n
@@ -260,10 +264,11 @@ ORACLES: dict[str, str] = {
         FROM vectors JOIN (SELECT sentence, sqrt(sum(w * w)) AS norm FROM vectors GROUP BY 1) USING (sentence)
         JOIN weights USING (token) GROUP BY 1, 2),
       best AS (
-        SELECT * FROM cosines QUALIFY row_number() OVER (PARTITION BY sentence ORDER BY cosine DESC, template) = 1),
+        SELECT sentence, split_part(template, '#', 1) AS license, cosine FROM cosines
+        QUALIFY row_number() OVER (PARTITION BY sentence ORDER BY cosine DESC, template) = 1),
       own AS (
-        SELECT doc_id, dir, arg_min(template, row(-cosine, template)) AS license, max(cosine) AS cosine,
-               count(*) >= any_value(total) AS whole
+        SELECT doc_id, dir, arg_min(license, row(-cosine, license)) AS license, max(cosine) AS cosine,
+               count(*) FILTER (spoken) >= any_value(total) AS whole
         FROM stated JOIN (FROM best WHERE cosine >= {licenses.LIKE}) USING (sentence) GROUP BY 1, 2),
       holders AS (
         SELECT dir, arg_min(license, row(-cosine, license)) AS license FROM own WHERE whole GROUP BY 1)
