@@ -19,6 +19,8 @@ KS, KS_THRESHOLD = "K-S p_value", 0.05
 SCALE_FLOOR = 0.001
 DATASET_SHARE = 0.5
 KS_TERMS = 100
+# Largest product of sample sizes whose p-value is counted path by path.
+EXACT_CELLS = 1_000_000
 
 
 def long_features(df: DataFrame, columns: Sequence[str] = tuple(FEATURES)) -> DataFrame:
@@ -75,8 +77,40 @@ def wasserstein(df: DataFrame, columns: Sequence[str] = tuple(FEATURES)) -> Data
     )
 
 
-def ks_statistic(df: DataFrame, columns: Sequence[str] = tuple(FEATURES)) -> DataFrame:
-    """Largest gap between the distribution functions and its asymptotic p-value."""
+def _exact_p(n: Column, m: Column, statistic: Column) -> Column:
+    """Chance that two samples of ``n`` and ``m`` rows from one law lie at least ``statistic`` apart.
+
+    Every order of the pooled rows is a path of n steps right and m up. ``share[i]``
+    is the share of paths to (i, s - i) that touch |i / n - j / m| >= statistic,
+    carried from diagonal to diagonal; products keep the test in whole numbers.
+    """
+    reach = F.round(statistic * n * m)
+
+    def diagonal(share: Column, s: Column) -> Column:
+        def cell(i: Column) -> Column:
+            j = s - i
+            reached = F.coalesce(F.get(share, i - 1), F.lit(0.0)) * i + F.get(share, i) * j
+            return (
+                F.when((j < 0) | (j > m), 0.0)
+                .when(F.abs(i * m - j * n) >= reach, 1.0)
+                .otherwise(reached / s)
+            )
+
+        return F.transform(F.sequence(F.lit(0), n), cell)
+
+    start = F.transform(F.sequence(F.lit(0), n), lambda i: F.when(reach <= 0, 1.0).otherwise(0.0))
+    return F.get(F.aggregate(F.sequence(F.lit(1), n + m), start, diagonal), n)
+
+
+def ks_statistic(
+    df: DataFrame, columns: Sequence[str] = tuple(FEATURES), exact_cells: int = EXACT_CELLS
+) -> DataFrame:
+    """Largest gap between the distribution functions and its p-value.
+
+    The p-value counts paths where the product of the sample sizes is at most
+    ``exact_cells`` and is the asymptotic series beyond. A feature without values
+    in one of the periods has neither.
+    """
     gaps = _two_sided(df, columns).groupBy("feature").agg(
         F.max("_gap").alias("statistic"),
         F.max("ref_total").cast("double").alias("_n"),
@@ -89,9 +123,14 @@ def ks_statistic(df: DataFrame, columns: Sequence[str] = tuple(FEATURES)) -> Dat
         lambda total, k: total
         + F.when(k % 2 == 1, 2.0).otherwise(-2.0) * F.exp(-2.0 * k * k * F.col("_t") * F.col("_t")),
     )
+    few, many = [f("_n", "_m").cast("int") for f in (F.least, F.greatest)]
+    exact = _exact_p(few, many, F.col("statistic"))
     # Below 0.2 the survival function is 1 to within 1e-12 and the series is slow.
-    p = F.when(F.col("_t") < 0.2, F.lit(1.0)).otherwise(
-        F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0))
+    p = (
+        F.when(F.col("statistic").isNull(), F.lit(None).cast("double"))
+        .when(F.col("_n") * F.col("_m") <= exact_cells, exact)
+        .when(F.col("_t") < 0.2, F.lit(1.0))
+        .otherwise(F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0)))
     )
     return gaps.withColumn("_t", t).select("feature", "statistic", p.alias("p_value"))
 

@@ -14,10 +14,12 @@ from barlake.plans.queries import (
     ODD_EVENTS,
     FIXED_MODEL,
     RANGE_END,
+    REFERENCE_NATIONS,
     RANGE_START,
     UPSERT_FROM,
     WINDOW_MINUTES,
 )
+from barlake.operators.drift import EXACT_CELLS
 from barlake.operators.features import WIDE_FEATURES
 from barlake.schemas import BASELINE_FEATURES, FEATURES, METRICS, NEWS_FEATURES, PRICE_COLUMNS, TARGET
 
@@ -1023,3 +1025,96 @@ ORACLES |= {
       SELECT model, threshold, fpr, tpr FROM steps
       WHERE first OR f1 IS NULL OR abs(f0 - f1) > 3e-6 OR abs(t0 - t1) > 3e-6""",
 }
+
+
+NEWTON_STEPS = 9
+
+
+def solved(system: str, n: int) -> str:
+    """The last column of ``system`` (n rows of n + 1 numbers in column m) after elimination."""
+    for k in range(1, n + 1):
+        system = f"""
+          SELECT list_transform(range(1, {n + 1}), lambda i: CASE WHEN i = {k}
+                   THEN list_transform(m[{k}], lambda x: x / m[{k}][{k}])
+                   ELSE list_transform(range(1, {n + 2}), lambda j: m[i][j] - m[i][{k}] * m[{k}][j] / m[{k}][{k}])
+                 END) AS m
+          FROM ({system})"""
+    return f"SELECT list_transform(m, lambda r: r[{n + 1}]) AS step FROM ({system})"
+
+
+def newton_ctes() -> str:
+    """CTE ``w<NEWTON_STEPS>``: weights of the penalised logistic fit, intercept last."""
+    n = len(_TRAINED)
+    ctes = [
+        f"{SCALED_CTES}",
+        f"""fit_rows AS MATERIALIZED (
+        SELECT [{", ".join(FEATURES)}, 1.0]::DOUBLE[] AS z, {TARGET}::DOUBLE AS y
+        FROM scaled WHERE split = 'train')""",
+        f"w0 AS (SELECT [{', '.join(['0.0'] * n)}]::DOUBLE[] AS w)",
+    ]
+    for step in range(NEWTON_STEPS):
+        rows = []
+        for i in range(1, n + 1):
+            cells = [
+                f"sum(p * (1 - p) * z[{i}] * z[{j}])" + (" + 1" if i == j < n else "") for j in range(1, n + 1)
+            ]
+            penalty = f" - any_value(w[{i}])" if i < n else ""
+            rows.append(f"[{', '.join(cells)}, sum((y - p) * z[{i}]){penalty}]")
+        ctes.append(f"""
+      p{step} AS MATERIALIZED (
+        SELECT z, y, w, 1 / (1 + exp(-list_dot_product(z, w))) AS p FROM fit_rows, w{step}),
+      m{step} AS MATERIALIZED (SELECT [{", ".join(rows)}] AS m FROM p{step}),
+      w{step + 1} AS MATERIALIZED (
+        SELECT list_transform(range(1, {n + 1}), lambda i: w[i] + step[i]) AS w
+        FROM w{step}, ({solved(f"SELECT m FROM m{step}", n)}))""")
+    return ", ".join(ctes)
+
+
+_SUPPLIERS = f"""
+      SELECT CASE WHEN s_nationkey < {REFERENCE_NATIONS} THEN 'r' ELSE 'c' END AS period, feature, value
+      FROM (UNPIVOT (SELECT s_nationkey, s_acctbal::DOUBLE AS s_acctbal, s_suppkey::DOUBLE AS s_suppkey FROM supplier)
+            ON s_acctbal, s_suppkey INTO NAME feature VALUE value)"""
+
+ORACLES |= {
+    "train_lr": f"""
+      WITH {newton_ctes()}
+      SELECT names[i] AS feature, round(w[i], 6) AS coefficient,
+             (SELECT count(*) FROM scaled WHERE split = 'test') AS test_rows,
+             (SELECT round(avg(1 / (1 + exp(-list_dot_product([{", ".join(FEATURES)}, 1.0]::DOUBLE[], w)))), 6)
+              FROM scaled WHERE split = 'test') AS mean_probability
+      FROM w{NEWTON_STEPS}, (SELECT [{", ".join(f"'{f}'" for f in _TRAINED)}] AS names), range(1, {len(_TRAINED) + 1}) AS r(i)""",
+    "train_rf_bounds": f"SELECT DISTINCT split, true AS accurate, true AS separates FROM ({SPLIT})",
+    "strict_text_bars": ORACLES["clean_bars"],
+    "stored_predictions": ORACLES["score_fixed_coeff"],
+    "stored_contract_report": ORACLES["contract_report"],
+    "first_duplicate_dates": f"{ORACLES['duplicate_keys']} ORDER BY symbol, Date LIMIT 5",
+    # A path of n steps right and m up for every order of the pooled rows, diagonal by diagonal.
+    "drift_ks_suppliers": f"""
+      WITH RECURSIVE long AS MATERIALIZED ({_SUPPLIERS}),
+      sizes AS (SELECT feature, count(*) FILTER (period = 'r') AS n, count(*) FILTER (period = 'c') AS m
+                FROM long GROUP BY 1),
+      gaps AS (
+        SELECT feature, n, m, max(abs(a * m - b * n)) AS d
+        FROM (SELECT feature, value, count(*) FILTER (period = 'r') OVER v AS a,
+                     count(*) FILTER (period = 'c') OVER v AS b
+              FROM long WINDOW v AS (PARTITION BY feature ORDER BY value)) JOIN sizes USING (feature)
+        GROUP BY ALL),
+      walk AS (
+        SELECT feature, n, m, d, 0 AS s, list_transform(range(0, n + 1), lambda i: (d <= 0)::INT::DOUBLE) AS share
+        FROM gaps WHERE n * m <= {EXACT_CELLS}
+        UNION ALL
+        SELECT feature, n, m, d, s + 1,
+               list_transform(range(0, n + 1), lambda i: CASE
+                 WHEN i > s + 1 OR s + 1 - i > m THEN 0.0::DOUBLE
+                 WHEN abs(i * m - (s + 1 - i) * n) >= d THEN 1.0::DOUBLE
+                 ELSE ((CASE WHEN i > 0 THEN share[i] ELSE 0 END) * i + share[i + 1] * (s + 1 - i)) / (s + 1) END)
+        FROM walk WHERE s < n + m),
+      few AS (SELECT feature, share[n + 1] AS p_value FROM walk WHERE s = n + m),
+      many AS (
+        SELECT feature, CASE WHEN any_value(t) < 0.2 THEN 1 ELSE least(greatest(
+                 sum(CASE WHEN k % 2 = 1 THEN 2 ELSE -2 END * exp(-2.0 * k * k * t * t)), 0), 1) END AS p_value
+        FROM (SELECT feature, d / sqrt(n::DOUBLE * m * (n + m)) AS t FROM gaps WHERE n * m > {EXACT_CELLS}),
+             range(1, 101) AS terms(k) GROUP BY 1)
+      SELECT feature, round(d / (n * m), 6) AS statistic, round(p_value, 6) AS p_value
+      FROM gaps JOIN (SELECT * FROM few UNION ALL SELECT * FROM many) USING (feature)""",
+}

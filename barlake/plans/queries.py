@@ -50,6 +50,8 @@ RANGE_START, RANGE_END = "1997-01-01", "1998-12-31"
 UPSERT_FROM = "1998-01-01"
 RETURN_FLAGS = ["A", "N", "R"]
 DEEP_DRAWDOWN = -0.5
+FOREST_BOUNDS = {"accuracy": 0.65, "roc_auc": 0.75}
+REFERENCE_NATIONS = 12
 FIXED_MODEL = models.LinearModel(
     coefficients=(0.35, -0.20, 0.15, -0.10, 0.25, -0.30, 0.05, 0.40),
     intercept=0.05,
@@ -936,6 +938,21 @@ def train_lr_facts(spark, d):
     return slopes.select(F.inline(F.array(*cells)), F.col("_n").alias("train_rows"))
 
 
+@query
+def train_rf_bounds(spark, d):
+    """Whether the forest separates the classes as well as fixed bounds ask, by split."""
+    split = splits.require_parts(
+        splits.chrono_split(_features(spark, d).select(*KEYS, *FEATURES, TARGET))
+    )
+    forest = models.train_forest(split.where(F.col("split") == "train"))
+    found = metrics.evaluate(models.predict_forest(split, forest, keep=["split", *KEYS]), ["split"])
+    return found.select(
+        "split",
+        (F.col("accuracy") > FOREST_BOUNDS["accuracy"]).alias("accurate"),
+        (F.col("roc_auc") > FOREST_BOUNDS["roc_auc"]).alias("separates"),
+    )
+
+
 @query
 def train_rf_facts(spark, d):
     """Size of the forest, rows of its splits, and its predictions against their probabilities."""
@@ -1087,3 +1104,49 @@ def prediction_overlay_written(spark, d):
     folder = scratch_path(spark, "overlay")
     reports.write_overlay(tables.line_bars(spark, d), _predictions(spark, d), lambda rows: rows.write.parquet(folder))
     return spark.read.parquet(folder)
+
+
+# --- text and stored tables: what a run writes is read back and judged ---------------------
+
+
+@query
+def strict_text_bars(spark, d):
+    """Bars stored as CSV, read as text, judged cell by cell and cast strictly."""
+    root = scratch_path(spark, "landed")
+    sinks.write_dataset(tables.line_bars(spark, d), root, "raw_bars")
+    return quality.load_clean(market.read_text_csv(spark, f"{root}/{sinks.DATASETS['raw_bars'].path}"))
+
+
+@query
+def stored_predictions(spark, d):
+    """The predictions as the named Parquet table gives them back."""
+    root = scratch_path(spark, "run")
+    sinks.write_dataset(_predictions(spark, d), root, "predictions")
+    return sinks.read_dataset(spark, root, "predictions")
+
+
+@query
+def stored_contract_report(spark, d):
+    """The contract report as the named JSON table gives it back."""
+    root = scratch_path(spark, "run")
+    sinks.write_dataset(contract_report(spark, d), root, "raw_contract_report")
+    return sinks.read_dataset(spark, root, "raw_contract_report")
+
+
+@query
+def first_duplicate_dates(spark, d):
+    """The five repeated keys that a rejected load names."""
+    return market.first_duplicates(tables.line_rows(spark, d), KEYS)
+
+
+# --- small samples --------------------------------------------------------------------------
+
+
+@query
+def drift_ks_suppliers(spark, d):
+    """Suppliers of the first nations against the others; few rows have an exact p-value."""
+    early = F.col("s_nationkey") < REFERENCE_NATIONS
+    rows = tables.table(spark, d, "supplier").withColumn(
+        "period", F.when(early, "reference").otherwise("current")
+    )
+    return drift.ks_statistic(rows, ["s_acctbal", "s_suppkey"])

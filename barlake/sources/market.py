@@ -51,9 +51,14 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def first_duplicates(df: DataFrame, keys: Sequence[str], count: int = 5) -> DataFrame:
+    """The first repeated keys in key order: what an error message quotes."""
+    return duplicate_keys(df, keys).orderBy(*keys).limit(count)
+
+
 def reject_duplicates(df: DataFrame, keys: Sequence[str], what: str) -> None:
     """Raise with the first five repeated dates if a key occurs twice."""
-    examples = duplicate_keys(df, keys).orderBy(*keys).limit(5).select("Date").collect()
+    examples = first_duplicates(df, keys).select("Date").collect()
     if examples:
         dates = [str(row["Date"]) for row in examples]
         raise DataContractError(f"{what} contains duplicate dates: {dates}")

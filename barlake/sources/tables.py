@@ -31,6 +31,7 @@ TABLE_SCHEMAS = {
     " value DOUBLE, props STRING",
     "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
     "labels": "doc_id BIGINT, quality INT, toxic INT",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
 }
 
 

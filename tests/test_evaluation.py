@@ -1,4 +1,5 @@
 import datetime as dt
+import itertools
 
 import numpy as np
 import pytest
@@ -175,6 +176,51 @@ def test_p_value_methods_drift_below_the_threshold(spark):
     assert not out["volume_change"]["drift_detected"]
 
 
+def two_samples(spark, old, new):
+    rows = [("reference", x) for x in old] + [("current", x) for x in new]
+    return spark.createDataFrame(rows, "period string, x double")
+
+
+def share_of_orders_at_least(n, m, reach):
+    """Of all orders of n + m pooled rows, the share whose largest gap is ``reach`` / (n m) or more."""
+    far = 0
+    orders = list(itertools.combinations(range(n + m), n))
+    for first in orders:
+        gap, i = 0, 0
+        for k in range(n + m):
+            i += k in first
+            gap = max(gap, abs(i * m - (k + 1 - i) * n))
+        far += gap >= reach
+    return far / len(orders)
+
+
+@pytest.mark.parametrize("n, m", [(1, 1), (2, 7), (7, 2), (5, 5), (8, 4)])
+def test_small_samples_have_an_exact_p_value(spark, n, m):
+    rng = np.random.default_rng(n * 10 + m)
+    old, new = rng.normal(size=n).round(1), rng.normal(1, size=m).round(1)
+    row = drift.ks_statistic(two_samples(spark, old.tolist(), new.tolist()), ["x"]).first()
+    expected = share_of_orders_at_least(n, m, round(row["statistic"] * n * m))
+    assert row["p_value"] == pytest.approx(expected, abs=1e-12)
+
+
+def test_exact_and_asymptotic_p_values_meet(spark):
+    rng = np.random.default_rng(4)
+    old, new = rng.normal(size=400).tolist(), rng.normal(0.15, size=300).tolist()
+    df = two_samples(spark, old, new)
+    exact = drift.ks_statistic(df, ["x"]).first()
+    series = drift.ks_statistic(df, ["x"], exact_cells=0).first()
+    assert exact["statistic"] == series["statistic"]
+    assert exact["p_value"] == pytest.approx(series["p_value"], abs=0.02)
+    assert exact["p_value"] != series["p_value"]
+    same = drift.ks_statistic(two_samples(spark, old, old), ["x"]).first()
+    assert (same["statistic"], same["p_value"]) == (0.0, 1.0)
+
+
+def test_a_period_without_values_has_no_p_value(spark):
+    row = drift.ks_statistic(two_samples(spark, [1.0, 2.0], [None]), ["x"]).first()
+    assert row["statistic"] is None and row["p_value"] is None
+
+
 def test_drift_needs_numeric_columns(spark):
     period = splits.drift_split(ramp_features(spark, 10))
     with pytest.raises(DataContractError, match="numeric: \\['rsi_14'\\]"):

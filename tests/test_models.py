@@ -55,6 +55,31 @@ def test_logistic_regression_solves_its_objective(train, fitted):
     assert fitted.features == tuple(FEATURES)
 
 
+def test_solvers_agree(train, fitted):
+    other = models.train_logistic(train, solver="lbfgs")
+    np.testing.assert_allclose(other.coefficients, fitted.coefficients, atol=1e-5)
+    assert other.intercept == pytest.approx(fitted.intercept, abs=1e-5)
+
+
+@pytest.mark.parametrize("c", [1e-3, 1.0, 1e4])
+def test_newton_solves_separable_rows_for_every_penalty(spark, c):
+    """Where classes part completely, full steps overshoot; the slope must vanish all the same."""
+    rows = [(x, x * x / 50.0, int(x > 0)) for x in [float(i) for i in range(-40, 41) if i]]
+    df = spark.createDataFrame(rows, "a double, b double, y int")
+    model = models.train_logistic(df, ["a", "b"], "y", c=c)
+    x = np.array([[r[0], r[1]] for r in rows])
+    z = (x - np.array(model.means)) / np.array(model.scales)
+    p = 1 / (1 + np.exp(-(z @ np.array(model.coefficients) + model.intercept)))
+    error = p - np.array([r[2] for r in rows])
+    assert np.abs(z.T @ error + np.array(model.coefficients) / c).max() < 1e-6
+    assert abs(error.sum()) < 1e-6
+
+
+def test_constant_feature_gets_no_weight(train):
+    flat = train.withColumn("rsi_14", F.lit(50.0))
+    assert models.train_logistic(flat).coefficients[FEATURES.index("rsi_14")] == pytest.approx(0, abs=1e-12)
+
+
 def test_logistic_predictions(spark, train, fitted):
     out = models.predict_linear(train, fitted)
     assert out.columns == ["symbol", "Date", "actual_target", "predicted_target", "probability_up"]
@@ -91,6 +116,18 @@ def test_training_errors(train):
         models.train_forest(train, model_type="other")
     with pytest.raises(DataContractError, match="rsi_14"):
         models.train_logistic(train.drop("rsi_14"))
+    with pytest.raises(DataContractError, match="Unsupported solver"):
+        models.train_logistic(train, solver="other")
+    with pytest.raises(DataContractError, match="both classes"):
+        models.train_logistic(train.where(F.col(TARGET) == 1))
+    with pytest.raises(DataContractError, match="both classes"):
+        models.train_logistic(train.limit(0))
+    for bad in (None, float("nan"), float("inf")):
+        gap = F.when(F.col("rsi_14") == 30, F.lit(bad)).otherwise(F.col("rsi_14"))
+        with pytest.raises(DataContractError, match="missing or infinite values: 3"):
+            models.train_logistic(train.withColumn("rsi_14", gap))
+    with pytest.raises(DataContractError, match="other than 0 and 1"):
+        models.train_logistic(train.withColumn(TARGET, F.col(TARGET) + 1))
 
 
 def test_infinite_features_count_as_zero(train, fitted):
