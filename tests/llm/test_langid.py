@@ -1,3 +1,7 @@
+import math
+from collections import Counter
+
+import numpy as np
 import pytest
 
 from barlake.llm import langid
@@ -13,6 +17,62 @@ def test_codes_keep_languages_apart():
                 assert (code[i] != code[j]).sum() >= max(1, code.shape[1] // 4)
 
 
+def plain_features(text):
+    """Counts of hashed runs of 1 to 3 bytes that hold a letter and no two gaps in a row."""
+    kept = [b if 97 <= b <= 122 or b >= 128 else 32 for b in (text or "").lower().encode()]
+    data, counts = [32, *kept, 32], Counter()
+    for n in langid.GRAMS:
+        for at in range(len(data) - n + 1):
+            gram = data[at : at + n]
+            if set(gram) == {32} or any(a == b == 32 for a, b in zip(gram, gram[1:])):
+                continue
+            h = n
+            for b in gram:
+                h = (h ^ b) * 0x01000193 % 2**32
+            counts[(h ^ (h >> 15)) % langid.BUCKETS] += 1
+    row = np.zeros(langid.BUCKETS)
+    for bucket, n in counts.items():
+        row[bucket] = math.sqrt(n)
+    return row / max(np.linalg.norm(row), 1e-9)
+
+
+def test_features_equal_plain_counts():
+    texts = [r[1] for r in awkward_rows()] + ["a", "  ab  cd ", "Grüße, 12 x!", "日本語 text", prose(3, 700)]
+    texts += [prose(i, 3) for i in range(300)]
+    short = [t for t in texts if t is None or len(t) < 10_000]
+    found = langid.features(short)
+    for row, text in zip(found, short):
+        np.testing.assert_allclose(row, plain_features(text), atol=1e-6)
+
+
+def test_decoding_equals_plain_sums():
+    """The least sum of bit losses wins, each loss times the worth of its bit; ties go by the alphabet."""
+    languages = ["de", "en", "fr", "it"]
+    rng = np.random.default_rng(2)
+    decoder = langid.Decoder(np.zeros((0, langid.BUCKETS), np.float32), np.zeros(0, int), languages)
+    width = decoder.code.shape[1]
+    decoder.weights = rng.normal(size=(langid.BUCKETS, width)).astype(np.float32)
+    decoder.offsets = rng.normal(size=width).astype(np.float32)
+    decoder.worth = rng.uniform(0.2, 2, width).astype(np.float32)
+    texts = [prose(i, 5) for i in range(40)] + ["123", None]
+    out = decoder.predict(texts)
+    for text, name, score, ambiguous in zip(texts, out["lang_pred"], out["score"], out["ambiguous"]):
+        if text is None or text == "123":
+            assert (name, score, ambiguous) == ("und", 0.0, False)
+            continue
+        margins = plain_features(text) @ decoder.weights + decoder.offsets
+        losses = [
+            sum(w * math.log1p(math.exp(-m * bit)) for w, m, bit in zip(decoder.worth, margins, word))
+            for word in decoder.code
+        ]
+        shares = np.exp(-np.array(losses)) / np.exp(-np.array(losses)).sum()
+        assert name == languages[int(np.argmin(losses))]
+        assert score == pytest.approx(shares.max(), abs=1e-4)
+        assert ambiguous == (np.diff(np.sort(shares))[-1] < langid.AMBIGUOUS)
+    decoder.weights[:], decoder.offsets[:] = 0, 0
+    assert set(decoder.predict(["abc", "xyz"])["lang_pred"]) == {"de"}
+
+
 def german(seed, words):
     return prose(seed, words).replace("th", "sch").replace("tion", "ung").replace("ou", "ü")
 

@@ -79,3 +79,28 @@ def test_token_arrays(spark, ids_of):
     total = sum(len(ids_of(prose(i, 60))) for i in range(12))
     assert sum(1 for r in made for x in r["ids"] if x != 0) == total
     assert all(len(r["ids"]) == 256 or len(r["ids"]) & (len(r["ids"]) - 1) == 0 for r in made)
+
+
+def test_assignment_equals_plain_queues(spark):
+    """Pieces wait in a queue a class, by hashed part, doc_id and start; copies of patterns take the next ones."""
+    from pyspark.sql import functions as F
+
+    docs = spark.createDataFrame([(i, prose(i, 5 + i * 37 % 300)) for i in range(150)], "doc_id long, text string")
+    part = F.pmod(F.xxhash64("doc_id", "doc_key", "start"), F.lit(64)).alias("part")
+    rows = packing.pack(docs, sequence=256, class_tokens=8).select("*", part).collect()
+    queues = {}
+    for r in sorted(rows, key=lambda r: (r["part"], r["doc_id"], r["start"])):
+        queues.setdefault(-(-r["length"] // 8), []).append((r["doc_id"], r["start"], r["length"]))
+    plan = packing.plan_sequences({c: len(q) for c, q in queues.items()}, 256 // 8)
+    want, sequence = {}, 0
+    for copies, pattern in plan:
+        for _ in range(copies):
+            offset = 0
+            for size in sorted(pattern, reverse=True):
+                for _ in range(pattern[size]):
+                    doc_id, start, length = queues[size].pop(0)
+                    want[doc_id, start] = (sequence, offset)
+                    offset += length
+            sequence += 1
+    assert not any(queues.values())
+    assert {(r["doc_id"], r["start"]): (r["sequence_id"], r["offset"]) for r in rows} == want
