@@ -267,7 +267,9 @@ def train_forest(
         seed=random_state,
     )
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    return Pipeline(stages=[assembler, forest]).fit(rows)
+    # The copy has no training summary: that holds the session, which cannot be
+    # sent to tasks once the session has observed a metric.
+    return Pipeline(stages=[assembler, forest]).fit(rows).copy()
 
 
 def _prediction_columns(df: DataFrame, keep: Sequence[str], target: str) -> DataFrame:

@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 from conftest import pandas_of, weekdays
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from barlake.operators import explain, metrics, models
@@ -109,6 +110,14 @@ def test_forest(spark):
     assert forest.stages[-1].getNumTrees == 20
 
 
+def test_forest_predicts_after_observed_metrics(spark, train):
+    seen = Observation()
+    assert train.observe(seen, F.count(F.lit(1)).alias("n")).count() == 120 and seen.get["n"] == 120
+    forest = models.train_forest(train, n_estimators=5)
+    assert models.predict_forest(train, forest).count() == 120
+    assert models.predict_forest(train, forest).where("probability_up >= 0").count() == 120
+
+
 def test_training_errors(train):
     with pytest.raises(DataContractError, match="Unsupported model type"):
         models.train_logistic(train, model_type="other")
