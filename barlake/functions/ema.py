@@ -17,14 +17,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlake.functions.ranks import index_rows, join_nullsafe
 from barlake.functions.scalars import col
 from barlake.functions.series import DAILY, POSITION, Series
 
-BLOCK_ROWS = 512
+BLOCK_ROWS = 128
 FAST, SLOW, SIGNAL = 12, 26, 9
 _BLOCK = "_ema_block"
 
@@ -38,7 +38,8 @@ class Maps:
 
     A map is a struct: factor ``m`` and addend ``b`` of each span; for the signal its own
     factor ``ms``, addend ``bs``, and the shares ``pf`` and ``ps`` of the fast and the slow
-    average before it.
+    average before it. The methods give SQL text: a map is a long expression, and text
+    reaches the session in one call.
     """
 
     def __init__(self, spans: Sequence[int], macd: bool):
@@ -46,65 +47,58 @@ class Maps:
         self.macd = macd
         self.fields = [f"{x}{n}" for n in self.spans for x in "mb"] + (["ms", "pf", "ps", "bs"] if macd else [])
 
-    def struct(self, values: dict[str, Column]) -> Column:
-        return F.struct(*[values[f].alias(f) for f in self.fields])
+    def struct(self, values: dict[str, str]) -> str:
+        return f"named_struct({', '.join(f"'{f}', {values[f]}" for f in self.fields)})"
 
-    def identity(self) -> Column:
-        return self.struct({f: F.lit(1.0 if f[0] == "m" else 0.0) for f in self.fields})
+    def identity(self) -> str:
+        return self.struct({f: "1D" if f[0] == "m" else "0D" for f in self.fields})
 
-    def of_row(self, x: Column, gap: Column) -> Column:
+    def of_row(self, x: str, gap: str) -> str:
         """The map of a row: x its value, ``gap`` the rows since the last one present (NULL: none)."""
-        out: dict[str, Column] = {}
+        out: dict[str, str] = {}
         for n in self.spans:
-            old = F.pow(F.lit(1.0 - alpha(n)), gap)
-            kept = F.coalesce(old / (old + alpha(n)), F.lit(0.0))
-            out[f"m{n}"] = F.when(x.isNull(), 1.0).otherwise(kept)
-            out[f"b{n}"] = F.when(x.isNull(), 0.0).otherwise((1 - kept) * x)
+            a = alpha(n)
+            old = f"pow({1.0 - a!r}D, {gap})"
+            kept = f"coalesce({old} / ({old} + {a!r}D), 0D)"
+            out[f"m{n}"] = f"if({x} IS NULL, 1D, {kept})"
+            out[f"b{n}"] = f"if({x} IS NULL, 0D, (1D - {kept}) * {x})"
         if self.macd:
-            a = F.when(gap.isNull(), 1.0).otherwise(alpha(SIGNAL))
-            out["ms"] = 1 - a
-            out["pf"], out["ps"] = a * out[f"m{FAST}"], -a * out[f"m{SLOW}"]
-            out["bs"] = a * (out[f"b{FAST}"] - out[f"b{SLOW}"])
+            a = f"if({gap} IS NULL, 1D, {alpha(SIGNAL)!r}D)"
+            out["ms"] = f"1D - {a}"
+            out["pf"], out["ps"] = f"{a} * {out[f'm{FAST}']}", f"-{a} * {out[f'm{SLOW}']}"
+            out["bs"] = f"{a} * ({out[f'b{FAST}']} - {out[f'b{SLOW}']})"
         return self.struct(out)
 
-    def then(self, first: Column, second: Column) -> Column:
-        """The map that applies ``first``, then ``second``."""
-        out: dict[str, Column] = {}
+    def then(self, f: str, s: str) -> str:
+        """The map that applies ``f``, then ``s`` (names of struct columns or variables)."""
+        out: dict[str, str] = {}
         for n in self.spans:
-            out[f"m{n}"] = second[f"m{n}"] * first[f"m{n}"]
-            out[f"b{n}"] = second[f"m{n}"] * first[f"b{n}"] + second[f"b{n}"]
+            out[f"m{n}"] = f"{s}.m{n} * {f}.m{n}"
+            out[f"b{n}"] = f"{s}.m{n} * {f}.b{n} + {s}.b{n}"
         if self.macd:
-            out["ms"] = second["ms"] * first["ms"]
-            out["pf"] = second["ms"] * first["pf"] + second["pf"] * first[f"m{FAST}"]
-            out["ps"] = second["ms"] * first["ps"] + second["ps"] * first[f"m{SLOW}"]
-            out["bs"] = (
-                second["ms"] * first["bs"]
-                + second["pf"] * first[f"b{FAST}"]
-                + second["ps"] * first[f"b{SLOW}"]
-                + second["bs"]
-            )
+            out["ms"] = f"{s}.ms * {f}.ms"
+            out["pf"] = f"{s}.ms * {f}.pf + {s}.pf * {f}.m{FAST}"
+            out["ps"] = f"{s}.ms * {f}.ps + {s}.ps * {f}.m{SLOW}"
+            out["bs"] = f"{s}.ms * {f}.bs + {s}.pf * {f}.b{FAST} + {s}.ps * {f}.b{SLOW} + {s}.bs"
         return self.struct(out)
 
-    def prefixes(self, maps: Column) -> Column:
+    def prefixes(self, maps: str) -> str:
         """All composed beginnings of an array of maps, the whole one last."""
-        start = F.array(self.identity())
-        grown = F.aggregate(
-            maps, start, lambda done, m: F.concat(done, F.array(self.then(F.element_at(done, -1), m)))
-        )
-        return F.slice(grown, F.lit(2), F.size(maps))
+        grown = f"concat(done, transform(array(element_at(done, -1)), f -> {self.then('f', 's')}))"
+        return f"slice(aggregate({maps}, array({self.identity()}), (done, s) -> {grown}), 2, size({maps}))"
 
-    def composed(self, maps: Column) -> Column:
-        return F.aggregate(maps, self.identity(), self.then)
+    def composed(self, maps: str) -> str:
+        return f"aggregate({maps}, {self.identity()}, (f, s) -> {self.then('f', 's')})"
 
 
-def _gaps(df: DataFrame, value: str, series: Series) -> tuple[DataFrame, Column]:
-    """``df`` with positions and blocks, and the rows since the last value present."""
+def _gaps(df: DataFrame, value: str, series: Series) -> tuple[DataFrame, str]:
+    """``df`` with positions and blocks, and (as SQL) the rows since the last value present."""
     keys, at = list(series.keys), F.col(POSITION)
-    present = F.when(col(value).isNotNull(), at)
+    present, gap = F.when(col(value).isNotNull(), at), f"({POSITION} - _last)"
     if series.tie is None or series.block_rows is None:
         before = series.window().rowsBetween(Window.unboundedPreceding, -1)
         placed = series.with_positions(df).withColumn(_BLOCK, F.floor(at / BLOCK_ROWS))
-        return placed.withColumn("_last", F.last(present, ignorenulls=True).over(before)), at - F.col("_last")
+        return placed.withColumn("_last", F.last(present, ignorenulls=True).over(before)), gap
     placed = index_rows(df, keys, series.time, series.tie, POSITION).withColumn(_BLOCK, F.floor(at / BLOCK_ROWS))
     inside = Window.partitionBy(*keys, _BLOCK).orderBy(POSITION).rowsBetween(Window.unboundedPreceding, -1)
     earlier = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
@@ -112,7 +106,7 @@ def _gaps(df: DataFrame, value: str, series: Series) -> tuple[DataFrame, Column]
     blocks = blocks.withColumn("_earlier", F.max("_latest").over(earlier)).drop("_latest")
     local = placed.withColumn("_local", F.last(present, ignorenulls=True).over(inside))
     found = join_nullsafe(local, blocks, [*keys, _BLOCK])
-    return found.withColumn("_last", F.coalesce("_local", "_earlier")).drop("_local", "_earlier"), at - F.col("_last")
+    return found.withColumn("_last", F.coalesce("_local", "_earlier")).drop("_local", "_earlier"), gap
 
 
 def _carried(blocks: DataFrame, keys: list[str], maps: Maps, levels: int) -> DataFrame:
@@ -122,17 +116,18 @@ def _carried(blocks: DataFrame, keys: list[str], maps: Maps, levels: int) -> Dat
     """
     if levels <= 1:
         earlier = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-        return blocks.withColumn("_start", maps.composed(F.collect_list("_whole").over(earlier)))
+        gathered = blocks.withColumn("_earlier", F.collect_list("_whole").over(earlier))
+        return gathered.withColumn("_start", F.expr(maps.composed("_earlier"))).drop("_earlier")
     upper = (
         blocks.groupBy(*keys, F.floor(F.col(_BLOCK) / BLOCK_ROWS).alias("_upper"))
         .agg(F.sort_array(F.collect_list(F.struct(_BLOCK, "_whole"))).alias("_parts"))
-        .withColumn("_done", maps.prefixes(F.col("_parts._whole")))
+        .withColumn("_done", F.expr(maps.prefixes("_parts._whole")))
         .select(*keys, F.col("_upper").alias(_BLOCK), F.element_at("_done", -1).alias("_whole"), "_parts", "_done")
     )
     started = _carried(upper, keys, maps, levels - 1)
-    before = F.concat(F.array(maps.identity()), F.slice("_done", 1, F.size("_done") - 1))
+    before = F.expr(f"concat(array({maps.identity()}), slice(_done, 1, size(_done) - 1))")
     each = started.select(*keys, "_start", F.inline(F.arrays_zip(F.col(f"_parts.{_BLOCK}").alias("_at"), before.alias("_before"))))
-    starts = each.select(*keys, F.col("_at").alias(_BLOCK), maps.then(F.col("_start"), F.col("_before")).alias("_start"))
+    starts = each.select(*keys, F.col("_at").alias(_BLOCK), F.expr(maps.then("_start", "_before")).alias("_start"))
     return join_nullsafe(blocks, starts, [*keys, _BLOCK])
 
 
@@ -154,16 +149,16 @@ def averages(
                     F.struct(
                         POSITION,
                         (F.col("_last").isNotNull() | col(value).isNotNull()).alias("begun"),
-                        maps.of_row(col(value), gap).alias("map"),
+                        F.expr(maps.of_row(f"`{value}`", gap)).alias("map"),
                         row.alias("row"),
                     )
                 )
             ).alias("_rows")
         )
-        .withColumn("_done", maps.prefixes(F.col("_rows.map")))
+        .withColumn("_done", F.expr(maps.prefixes("_rows.map")))
         .withColumn("_whole", F.element_at("_done", -1))
     )
-    # 512 ** 3 rows of a long series; a calendar has a few blocks only.
+    # 128 ** 3 rows of a long series; a calendar has a few hundred blocks a century.
     levels = 1 if series.tie is None or series.block_rows is None else 3
     if levels == 1:
         started = _carried(packed, keys, maps, 1)
@@ -172,21 +167,15 @@ def averages(
         started = join_nullsafe(packed, starts, [*keys, _BLOCK])
     zipped = F.arrays_zip(F.col("_rows.row").alias("row"), F.col("_rows.begun").alias("begun"), F.col("_done").alias("map"))
     rows = started.select(*keys, "_start", F.explode(zipped).alias("_r"))
-    out: dict[str, Column] = {}
-    for n in maps.spans:
-        out[f"ema_{n}"] = F.col(f"_r.map.m{n}") * F.col(f"_start.b{n}") + F.col(f"_r.map.b{n}")
+    out = {f"ema_{n}": f"(_r.map.m{n} * _start.b{n} + _r.map.b{n})" for n in maps.spans}
     if macd:
-        m = F.col("_r.map")
-        out["macd"] = out[f"ema_{FAST}"] - out[f"ema_{SLOW}"]
+        out["macd"] = f"({out[f'ema_{FAST}']} - {out[f'ema_{SLOW}']})"
         out["macd_signal"] = (
-            m["ms"] * F.col("_start.bs")
-            + m["pf"] * F.col(f"_start.b{FAST}")
-            + m["ps"] * F.col(f"_start.b{SLOW}")
-            + m["bs"]
+            f"(_r.map.ms * _start.bs + _r.map.pf * _start.b{FAST} + _r.map.ps * _start.b{SLOW} + _r.map.bs)"
         )
-        out["macd_hist"] = out["macd"] - out["macd_signal"]
+        out["macd_hist"] = f"{out['macd']} - {out['macd_signal']}"
     wanted = [f"ema_{n}" for n in spans] + (["macd", "macd_signal", "macd_hist"] if macd else [])
     return rows.select(
         *[col(c) if c in keys else F.col("_r.row")[c].alias(c) for c in df.columns],
-        *[F.when(F.col("_r.begun"), out[name]).alias(name) for name in wanted],
+        *[F.expr(f"if(_r.begun, {out[name]}, NULL)").alias(name) for name in wanted],
     )
