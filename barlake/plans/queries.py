@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.functions.scalars import infinite_to_zero, rounded
-from barlake.functions.scratch import scratch_path
+from barlake.functions.scratch import scratch_path, written
 from barlake.functions.series import Series, warm_up
 from barlake.operators import (
     contracts,
@@ -89,9 +89,14 @@ def _events(spark: SparkSession) -> DataFrame:
     return events.event_list(spark, EVENT_HOURS, "ALL", "timestamp_ntz")
 
 
+def _split(spark: SparkSession, d: str) -> DataFrame:
+    """The model table with its split. It is read more than once: its windows are computed once and written."""
+    return written(splits.chrono_split(_features(spark, d).select(*KEYS, *FEATURES, TARGET)), "split")
+
+
 def _standardized(spark: SparkSession, d: str) -> DataFrame:
     """All splits in deviations from the training split."""
-    split = splits.chrono_split(_features(spark, d).select(*KEYS, *FEATURES, TARGET))
+    split = _split(spark, d)
     return models.standardize(split, split.where(F.col("split") == "train"))
 
 
@@ -775,7 +780,7 @@ def predictions_in_range(spark, d):
 @query
 def train_lr(spark, d):
     """Coefficients of the logistic regression fitted on the training split."""
-    split = splits.chrono_split(_features(spark, d).select(*KEYS, *FEATURES, TARGET))
+    split = _split(spark, d)
     model = models.train_logistic(split.where(F.col("split") == "train"))
     test = split.where(F.col("split") == "test")
     scored = models.predict_linear(test, model)
@@ -793,7 +798,7 @@ def train_lr(spark, d):
 @query
 def train_rf(spark, d):
     """Test metrics of the random forest fitted on the training split."""
-    split = splits.chrono_split(_features(spark, d).select(*KEYS, *FEATURES, TARGET))
+    split = _split(spark, d)
     forest = models.train_forest(split.where(F.col("split") == "train"))
     test = split.where(F.col("split") == "test").withColumn("model", F.lit("random_forest"))
     scored = models.predict_forest(test, forest, keep=["model", *KEYS])
@@ -916,9 +921,7 @@ def drift_ks_verdict(spark, d):
 @query
 def train_lr_facts(spark, d):
     """Whether the slope of the penalised loss vanishes at the fitted weights, by coefficient."""
-    split = splits.require_parts(
-        splits.chrono_split(_features(spark, d).select(*KEYS, *FEATURES, TARGET))
-    )
+    split = splits.require_parts(_split(spark, d))
     train = split.where(F.col("split") == "train")
     model = models.train_logistic(train)
     error = model.probability() - F.col(TARGET)
@@ -941,9 +944,7 @@ def train_lr_facts(spark, d):
 @query
 def train_rf_bounds(spark, d):
     """Whether the forest separates the classes as well as fixed bounds ask, by split."""
-    split = splits.require_parts(
-        splits.chrono_split(_features(spark, d).select(*KEYS, *FEATURES, TARGET))
-    )
+    split = splits.require_parts(_split(spark, d))
     forest = models.train_forest(split.where(F.col("split") == "train"))
     found = metrics.evaluate(models.predict_forest(split, forest, keep=["split", *KEYS]), ["split"])
     return found.select(
@@ -956,9 +957,7 @@ def train_rf_bounds(spark, d):
 @query
 def train_rf_facts(spark, d):
     """Size of the forest, rows of its splits, and its predictions against their probabilities."""
-    split = splits.require_parts(
-        splits.chrono_split(_features(spark, d).select(*KEYS, *FEATURES, TARGET))
-    )
+    split = splits.require_parts(_split(spark, d))
     forest = models.train_forest(split.where(F.col("split") == "train"))
     fitted = forest.stages[-1]
     scored = models.predict_forest(split, forest, keep=["split", *KEYS])
