@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from barlake.functions.scalars import col
 from barlake.operators.metrics import value_counts
 from barlake.operators.quality import coerce
 from barlake.operators.splits import chrono_split
@@ -25,6 +26,23 @@ def split_series(features: DataFrame) -> DataFrame:
     return chrono_split(features.select(*KEYS, "Close"))
 
 
+def first_rows(df: DataFrame, n: int = 20, order: Sequence[str] = ("Date", "symbol")) -> DataFrame:
+    """The first ``n`` rows in ``order``, which must be total for a fixed result; missing values come first.
+
+    Every task keeps ``n`` rows; nothing is sorted as a whole.
+    """
+    return df.orderBy(*[col(c).asc_nulls_first() for c in order]).limit(n)
+
+
+def edge_rows(df: DataFrame, n: int = 5, order: Sequence[str] = ("Date", "symbol")) -> DataFrame:
+    """The first and the last ``n`` rows in ``order``, marked by ``edge``: head or tail.
+
+    A table of fewer than 2 ``n`` rows gives some of them twice; no rows give none.
+    """
+    tail = df.orderBy(*[col(c).desc_nulls_last() for c in order]).limit(n)
+    return first_rows(df, n, order).withColumn("edge", F.lit("head")).unionByName(tail.withColumn("edge", F.lit("tail")))
+
+
 def target_distribution(features: DataFrame) -> DataFrame:
     return value_counts(features, TARGET, [0, 1], by=["symbol"])
 

@@ -1088,6 +1088,11 @@ ORACLES |= {
     "stored_predictions": ORACLES["score_fixed_coeff"],
     "stored_contract_report": ORACLES["contract_report"],
     "first_duplicate_dates": f"{ORACLES['duplicate_keys']} ORDER BY symbol, Date LIMIT 5",
+    "bars_head_tail": f"""
+      SELECT 'head' AS edge, symbol, Date, {PRICES} FROM (FROM ({LINE_BARS}) ORDER BY Date, symbol LIMIT 5)
+      UNION ALL
+      SELECT 'tail' AS edge, symbol, Date, {PRICES} FROM (FROM ({LINE_BARS}) ORDER BY Date DESC, symbol DESC LIMIT 5)""",
+    "first_predictions": f"{ORACLES['score_fixed_coeff']} ORDER BY Date, symbol LIMIT 20",
     # A path of n steps right and m up for every order of the pooled rows, diagonal by diagonal.
     "drift_ks_suppliers": f"""
       WITH RECURSIVE long AS MATERIALIZED ({_SUPPLIERS}),

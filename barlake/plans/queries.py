@@ -1138,6 +1138,20 @@ def first_duplicate_dates(spark, d):
     return market.first_duplicates(tables.line_rows(spark, d), KEYS)
 
 
+# --- samples for the eye: the few rows are the feature ---------------------------------------
+
+
+@query
+def bars_head_tail(spark, d):
+    return reports.edge_rows(tables.line_bars(spark, d))
+
+
+@query
+def first_predictions(spark, d):
+    """The first 20 test predictions in the order of time."""
+    return reports.first_rows(_predictions(spark, d))
+
+
 # --- small samples --------------------------------------------------------------------------
 
 

@@ -259,3 +259,16 @@ def test_complete_columns_need_fewer_moments(spark):
     )
     assert plain.keys() == short.keys() and short[("a", "c")] is None and short[("c", "c")] is None
     assert all(plain[k] is None or abs(plain[k] - short[k]) < 1e-12 for k in plain)
+
+
+def test_first_and_edge_rows(spark):
+    rows = spark.createDataFrame(
+        [("b", 2), ("a", 2), ("a", None), ("b", 1), ("a", 3)], "symbol string, Date int"
+    )
+    first = [(r["Date"], r["symbol"]) for r in reports.first_rows(rows, 3).collect()]
+    assert first == [(None, "a"), (1, "b"), (2, "a")]
+    edges = reports.edge_rows(rows, 2).collect()
+    assert [(r["Date"], r["symbol"]) for r in edges if r["edge"] == "head"] == [(None, "a"), (1, "b")]
+    assert [(r["Date"], r["symbol"]) for r in edges if r["edge"] == "tail"] == [(3, "a"), (2, "b")]
+    assert reports.edge_rows(rows.limit(1), 2).count() == 2
+    assert reports.edge_rows(rows.limit(0)).count() == 0
