@@ -41,6 +41,7 @@ DATE = "2024-01-01T00:00:00Z"
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 GZIP = b"\x1f\x8b\x08"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+_HEAD_END = re.compile(rb"\r\n(\r\n|WARC/1\.[01]\r\n)")
 _FEED = 1 << 16
 _LEVEL = 6
 
@@ -100,9 +101,14 @@ def parse(data: bytes | memoryview, at: int) -> tuple[dict[str, str], int, int,
     data = memoryview(data)
     if not VERSION.match(data, at):
         raise Damaged("no version line")
-    head_end = _find(data, b"\r\n\r\n", at)
-    if head_end < 0:
+    # A version line inside a header is a line without colon: no header is searched beyond the next
+    # one, so that trying many version lines costs time in proportion to the content.
+    found = _HEAD_END.search(data, at)
+    if found is None:
         raise Damaged("header without end")
+    if found[1] != b"\r\n":
+        raise Damaged("header line without colon")
+    head_end = found.start()
     headers = {}
     for line in bytes(data[at:head_end]).decode("utf-8", "replace").split("\r\n")[1:]:
         name, colon, value = line.partition(":")
@@ -122,12 +128,6 @@ def parse(data: bytes | memoryview, at: int) -> tuple[dict[str, str], int, int,
     return headers, start, end, end + 4
 
 
-def _find(data: memoryview, what: bytes, at: int) -> int:
-    """Like bytes.find, without a copy of the rest."""
-    found = re.compile(re.escape(what)).search(data, at)
-    return found.start() if found else -1
-
-
 def _check(claimed: str | None, content: bytes, name: str) -> None:
     """A digest that is not there, or of another kind, is not checked."""
     if claimed and claimed.lower().startswith("sha1:") and claimed[5:].strip().upper() != digest_of(content):

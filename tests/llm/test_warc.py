@@ -2,6 +2,7 @@ import base64
 import gzip
 import hashlib
 import random
+import time
 
 import pytest
 
@@ -139,3 +140,13 @@ def test_gap_rows(spark):
     gap = rows["gap"]
     assert (gap["start"], gap["end"], gap["payload_bytes"]) == (len(parts[0]), len(parts[0]) + 10, 10)
     assert gap["reason"] == "no version line" and rows["record"]["page_id"] in (0, 2)
+
+
+def test_many_version_lines_without_a_header_end_cost_linear_time():
+    lines = b"WARC/1.1\r\nA: b\r\n" * 60_000
+    whole = warc.record(7, "u", b"x", None, False)
+    start = time.perf_counter()
+    found = list(warc.scan(lines + whole))
+    assert time.perf_counter() - start < 5
+    assert ids(lines + whole) == [7] and gaps(lines + whole) == [(0, len(lines))]
+    assert [f[0] for f in found] == ["gap", "record"]
