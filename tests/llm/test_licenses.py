@@ -119,3 +119,37 @@ def test_odd_tables(clashing, empty):
     rows = licenses.scan_licenses(as_files(clashing)).collect()
     assert len(rows) == len(awkward_rows()) and {r["license"] for r in rows} == {None}
     assert licenses.scan_licenses(as_files(empty)).count() == 0
+
+
+def test_templates_without_a_licence_word_take_all_units(spark):
+    """Headers and lines like a template that holds no cue word need none either."""
+    own = {
+        "bsd/a.c": (commented(text_of("BSD-2-Clause"), " *") + "\n\nint x;", "BSD-2-Clause"),
+        "bsd/b.c": (commented(text_of("BSD-3-Clause"), "#") + "\n\nint y;", "BSD-3-Clause"),
+        "isc/a.c": (commented(text_of("ISC"), "//") + "\n\nint z;", "ISC"),
+        "cc/a.txt": ("Some words.\nCreative Commons Legal Code CC0 1.0 Universal\nMore words.", "CC0-1.0"),
+        "some/a.c": ("Redistribution and use in source and binary forms are permitted by some.", None),
+        "de/a.txt": ("Er kam mit.\nMit\n\nmit", None),
+    }
+    assert not any(re.search(licenses.CUES, text.lower()) for text, _ in own.values())
+    rows = [(i, path, text) for i, (path, (text, _)) in enumerate(own.items())]
+    files = spark.createDataFrame(rows, "file_key long, path string, text string")
+    found = {r["path"]: r["license"] for r in licenses.scan_licenses(files).collect()}
+    assert found == {path: name for path, (_, name) in own.items()}
+
+
+@pytest.mark.parametrize("like", [0.0, 0.3, 0.75])
+def test_early_filter_loses_no_unit(spark, like):
+    """Parts of templates with other words between: what plain vectors find passes."""
+    import random
+
+    rng = random.Random(5)
+    units = []
+    for key in licenses.WORDLESS:
+        split = dict(licenses.TEMPLATES)[key].split()
+        for keep in (0.1, 0.3, 0.5, 0.6, 0.8, 0.95):
+            units.append(" ".join(w for w in split if rng.random() < keep) + " others" * rng.randrange(3))
+    df = spark.createDataFrame(list(enumerate(units)), "unit long, words string")
+    passed = {r["unit"] for r in df.where(licenses._may_reach(F.col("words"), like)).collect()}
+    found = {r["unit"] for r in licenses.classify(df, like, licenses.WORDLESS).collect()}
+    assert found <= passed and len(found) > 5 and (len(passed) < len(units) or like < 0.75)
