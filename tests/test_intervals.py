@@ -50,6 +50,15 @@ def test_one_long_interval_over_many_blocks(spark):
     assert counts == {1: 2895, 2: 1}
 
 
+def test_tasks_grow_with_the_pairs(spark, monkeypatch):
+    monkeypatch.setattr(intervals, "PAIRS_A_TASK", 2000, raising=False)
+    df = spark.range(6000).select(F.lit("A").alias("symbol"), F.col("id").alias("Date"))
+    table = spark.range(20).select(F.lit("A").alias("symbol"), F.col("id").alias("interval_id"), F.lit(0).alias("start"), F.lit(6000).alias("end"))
+    found = intervals.rows_inside(df, table)
+    sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 120_000 and len(sizes) > 10 and max(sizes) < 30_000
+
+
 @pytest.mark.parametrize("changes", [{}, {(2, "Close"): -1.0}, {(1, "Volume"): None, (3, "High"): 1.0}, {(0, "Open"): float("nan")}])
 def test_raw_rules_while_writing_equal_the_separate_job(spark, changes):
     bars, out = valid_bars(spark, changes), scratch_path(spark, "w")
