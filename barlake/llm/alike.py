@@ -1,6 +1,8 @@
-"""Near copies by word shingles: MinHash buckets, exact Jaccard similarity inside them.
+"""Near copies by word shingles: SimHash classes and MinHash buckets, exact Jaccard similarity inside them.
 
-Texts with the same set of shingles are one node. ``BANDS`` keys of ``ROWS`` minima each
+Texts with the same set of shingles are one node. What the pigeonring search links by the
+SimHash of the same shingles (``simhash``) is one bucket; pairs of the similarity often
+differ in more bits than it finds, so further buckets add those: ``BANDS`` keys of ``ROWS`` minima each
 put nodes into buckets; two sets of similarity 0.8 share none with probability 7e-5, of
 0.85 with 8e-7. Buckets with the same nodes are one. A task gets the shingles of the nodes
 of a bucket, tests the sets themselves, and lets out a spanning forest of the links it
@@ -30,6 +32,7 @@ from pyspark.sql import functions as F
 from barlake.functions.scratch import written
 from barlake.llm.common import LOWER, as_bytes, gram_hashes, hot_join, mix, span_hashes, unused_name, word_spans
 from barlake.llm.graph import components
+from barlake.llm.simhash import fingerprint, near_classes
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 5
@@ -60,15 +63,18 @@ def band_keys(found: np.ndarray) -> np.ndarray:
 
 def _signatures(size: int):
     def sign(texts: pd.Series) -> pd.DataFrame:
-        sets, sizes, keys = [], [], []
+        sets, sizes, keys, prints = [], [], [], []
         for text in texts:
             found = shingles(text, size)
             sets.append(xxhash.xxh64_intdigest(found.tobytes(), 42) - (1 << 63))
             sizes.append(len(found))
             keys.append(band_keys(found) if len(found) else np.zeros(0, np.int64))
-        return pd.DataFrame({"set_id": pd.Series(sets, dtype="int64"), "n_shingles": pd.Series(sizes, dtype="int64"), "bands": keys})
+            prints.append(fingerprint(text, size))
+        return pd.DataFrame(
+            {"set_id": pd.Series(sets, dtype="int64"), "n_shingles": pd.Series(sizes, dtype="int64"), "bands": keys, "fp": pd.Series(prints, dtype="int64")}
+        )
 
-    return F.pandas_udf(sign, "set_id long, n_shingles long, bands array<long>")
+    return F.pandas_udf(sign, "set_id long, n_shingles long, bands array<long>, fp long")
 
 
 def _sets(size: int):
@@ -173,7 +179,7 @@ def near_links(first: DataFrame, sets_of, similarity: float = SIMILARITY, part_r
     shingles) for a table of set_ids.
     """
     rows = first.where("n_shingles > 0")
-    total = rows.count() * BANDS
+    total = rows.agg(F.sum(F.size("bands"))).first()[0] or 0
     weight = 1 + F.col("n_shingles") / HEAVY
     keys = rows.select("set_id", weight.alias("weight"), F.explode("bands").alias("key"))
     buckets = (
@@ -257,7 +263,12 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILA
     keyed = docs.withColumn(key, _row_key(docs))
     rows = written(keyed.select(F.col(key).alias("row"), _signatures(shingle)("text").alias("s")).select("row", "s.*"), "signatures")
     first = written(
-        rows.groupBy("set_id").agg(F.min(F.struct("row", "n_shingles", "bands")).alias("f")).select("set_id", "f.*"), "distinct-sets"
+        rows.groupBy("set_id").agg(F.min(F.struct("row", "n_shingles", "bands", "fp")).alias("f")).select("set_id", "f.*"), "distinct-sets"
+    )
+    # The class of close fingerprints is one more bucket of a set.
+    close = near_classes(first.where("n_shingles > 0")).select("fp", F.xxhash64(F.lit("simhash"), "root").alias("close"))
+    keyed_sets = written(
+        first.join(close, "fp").select("set_id", "n_shingles", F.concat("bands", F.array("close")).alias("bands")), "keyed-sets"
     )
 
     def sets_of(ids: DataFrame) -> DataFrame:
@@ -268,7 +279,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILA
             "shingles",
         )
 
-    ends = components(near_links(first, sets_of, similarity, part_rows)).select(F.col("node").alias("set_id"), "root")
+    ends = components(near_links(keyed_sets, sets_of, similarity, part_rows)).select(F.col("node").alias("set_id"), "root")
     kept = (
         first.join(ends, "set_id", "left")
         .groupBy(F.coalesce("root", "set_id").alias("root"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from barlake.llm import alike
 from barlake.llm.common import table
+from barlake.llm.simhash import fingerprint
 from tests.conftest import SF_DIR
 from tests.llm.conftest import prose
 
@@ -60,6 +61,16 @@ def test_copies_around_the_similarity_and_parts_of_buckets(spark):
         assert {r["doc_id"] for r in alike.keep_one(docs, part_rows=part_rows).collect()} == want
 
 
+def test_close_fingerprints_are_candidates_without_a_common_bucket(spark, monkeypatch):
+    """Sets that share no MinHash bucket: the pigeonring search finds them, the exact test judges them."""
+    monkeypatch.setattr(alike, "band_keys", lambda found: found[:0].view(np.int64))
+    text = prose(5, 600)
+    near = next(e for e in (edited(text, seed, 1) for seed in range(99)) if (fingerprint(text, 5) ^ fingerprint(e, 5)).bit_count() <= 3)
+    docs = spark.createDataFrame([(1, text), (2, near), (3, prose(6, 600))], "doc_id long, text string")
+    assert {r["doc_id"] for r in alike.keep_one(docs).collect()} == {1, 3}
+    assert {r["doc_id"] for r in alike.keep_one(docs, similarity=0.9999).collect()} == {1, 2, 3}
+
+
 def test_one_of_each_class_stays(clashing, empty):
     kept = alike.keep_one(clashing)
     assert kept.columns == clashing.columns
