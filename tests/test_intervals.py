@@ -59,6 +59,48 @@ def test_tasks_grow_with_the_pairs(spark, monkeypatch):
     assert sum(sizes) == 120_000 and len(sizes) > 10 and max(sizes) < 30_000
 
 
+def exchanged(plan):
+    """Rows that each exchange of an executed plan wrote."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return exchanged(plan.executedPlan())
+    if plan.nodeName().endswith("QueryStage"):
+        return exchanged(plan.plan())
+    written = plan.metrics().get("shuffleRecordsWritten")
+    rows = [written.get().value()] if plan.nodeName() == "Exchange" and written.isDefined() else []
+    return rows + [n for i in range(plan.children().size()) for n in exchanged(plan.children().apply(i))]
+
+
+def test_what_travels_follows_rows_and_intervals_not_pairs(spark, monkeypatch):
+    monkeypatch.setattr(intervals, "PAIR_BLOCK", 2)
+    df = spark.range(400).select(F.lit("A").alias("symbol"), F.col("id").alias("Date"))
+    table = spark.range(100).select(F.lit("A").alias("symbol"), F.col("id").alias("interval_id"), F.lit(0).alias("start"), F.lit(400).alias("end"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as where neither side is small
+    try:
+        found = intervals.rows_inside(df, table)
+        pairs = [(r["Date"], r["interval_id"]) for r in found.collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(pairs) == [(t, i) for t in range(400) for i in range(100)]
+    travelled = exchanged(found._jdf.queryExecution().executedPlan())
+    assert travelled and max(travelled) <= 4 * (400 + 100) + 100
+    # One interval after the other, so that files of the result stay small.
+    assert sum(a[1] != b[1] for a, b in zip(pairs, pairs[1:])) <= max(travelled)
+
+
+def test_columns_come_back_as_they_were(spark):
+    rows = [(i % 7, 1.5 * i, i % 3, None if i % 5 == 0 else str(i)) for i in range(60)]
+    df = spark.createDataFrame(rows, "Date int, x double, symbol int, `a.b` string")
+    table = spark.createDataFrame([(0, "p", 1, 4), (2, "q", 3, 9), (None, "r", 0, 9)], "symbol long, interval_id string, start int, end int")
+    cover = [(*r, i) for r in rows for s, i, a, b in [(0, "p", 1, 4), (2, "q", 3, 9)] if r[2] == s and a <= r[0] < b]
+    found = intervals.rows_inside(df, table)
+    assert [(f.name, f.dataType) for f in found.schema][:4] == [(f.name, f.dataType) for f in df.schema]
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, cover))
+    counted = intervals.open_intervals(df, table)
+    assert [(f.name, f.dataType) for f in counted.schema][:4] == [(f.name, f.dataType) for f in df.schema]
+    assert sorted(map(str, map(tuple, counted.drop(intervals.OPEN).collect()))) == sorted(map(str, rows))
+    assert counted.agg(F.sum(intervals.OPEN)).first()[0] == len(cover)
+
+
 @pytest.mark.parametrize("changes", [{}, {(2, "Close"): -1.0}, {(1, "Volume"): None, (3, "High"): 1.0}, {(0, "Open"): float("nan")}])
 def test_raw_rules_while_writing_equal_the_separate_job(spark, changes):
     bars, out = valid_bars(spark, changes), scratch_path(spark, "w")
